@@ -1,42 +1,222 @@
 """Registered queries: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Each query derives its inputs from the supplied tables, applies one
-operator for all assets and returns flat, presentation-shaped rows (dates
-as ISO text, like the reference's JSON), so results can be compared
-value by value with the DuckDB SQL in ``pricewh.plans.oracle``.
+operator to all assets and returns flat, presentation-shaped rows (dates
+as ISO text, like the reference's JSON replies; integers as bigint), so
+results compare value by value with the DuckDB SQL in
+``pricewh.plans.oracle``.  Nested results (maps, structs) are flattened.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricewh.functions.columns import iso_date
+from pricewh.functions.columns import PROVIDER_ALT, PROVIDER_DEFAULT, iso_date, iso_datetime
 from pricewh.operators import bars as B
+from pricewh.operators import catalogue as C
+from pricewh.operators import forecast as M
+from pricewh.operators import quant as Q
+from pricewh.operators import reads as RD
 from pricewh.operators import rollups as R
 from pricewh.sources import fixtures as X
+from pricewh.sources import sinks as S
+from pricewh.sources import vendor as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Fixed parameters of the registered queries.
+LOAD_EXISTING_BEFORE = "1999-07-01"     # stored table holds bars before this day
+LOAD_BATCH_FROM = "1999-01-01"          # incoming batch starts here (overlap)
+REPLAY_MONTH = "1999-07"                # this month arrives twice in the batch
+REPLAY_INGEST_ID = "job_etl_replay"
+REPLAY_SYSTEM_DATE = "2026-01-02 00:00:00"
+SCD2_SPLIT = "1998-01-01"               # history before, batch from here
+RANGE_START, RANGE_END = "1996-01-01", "1997-01-01"
+PAYLOAD_START, PAYLOAD_END = "1996-01-01", "1996-04-01"
+ALT_ROUTED = ["BUILDING-USD", "^MACHINERY"]
+FORECAST_AS_OF = "2001-08-01"
+
+
+def _bigints(df: DataFrame) -> DataFrame:
+    cols = [F.col(f.name).cast("bigint").alias(f.name)
+            if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)) else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols)
+
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark, sf):
+            return _bigints(fn(spark, sf))
+        QUERIES[name] = run
+        return run
     return deco
 
 
-# -- sources and reads --------------------------------------------------------
+def _flat_stored(stored: DataFrame, stamp=iso_date) -> DataFrame:
+    f = B.flatten_bars(stored)
+    return f.withColumn("business_date", stamp("business_date"))
+
+
+def _before(df, day):
+    return df.filter(F.col("business_date") < F.lit(day).cast("timestamp_ntz"))
+
+
+def _from(df, day):
+    return df.filter(F.col("business_date") >= F.lit(day).cast("timestamp_ntz"))
+
+
+# -- sources, loading ---------------------------------------------------------
 
 @query("bars")
 def q_bars(spark, sf):
-    f = B.flatten_bars(X.stored_bars(spark, sf))
-    return f.withColumn("business_date", iso_date("business_date"))
+    return _flat_stored(X.stored_bars(spark, sf))
+
+
+@query("ingest_wide")
+def q_ingest_wide(spark, sf):
+    b = V.ingest_wide(X.landed_wide(spark, sf), PROVIDER_DEFAULT, X.FIXTURE_INGEST_ID, X.FIXTURE_SYSTEM_DATE)
+    return _flat_stored(b, iso_datetime)
+
+
+@query("ingest_json")
+def q_ingest_json(spark, sf):
+    b = V.ingest_json(X.landed_json(spark, sf), PROVIDER_ALT, X.FIXTURE_INGEST_ID, X.FIXTURE_SYSTEM_DATE)
+    return _flat_stored(b, iso_datetime)
+
+
+@query("route_symbols")
+def q_route_symbols(spark, sf):
+    return V.route_symbols(X.symbols(spark, sf), ALT_ROUTED)
+
+
+@query("canonical_assets")
+def q_canonical_assets(spark, sf):
+    a = V.canonical_assets(V.route_symbols(X.symbols(spark, sf), ALT_ROUTED), "provider")
+    return a.select("asset_id", "symbol", "asset_class", "description", "vendor_symbol",
+                    F.col("attributes").getItem("source").alias("source"),
+                    F.col("attributes").getItem("currency").alias("currency"))
+
+
+@query("ingest_stats")
+def q_ingest_stats(spark, sf):
+    landed = X.landed_wide(spark, sf)
+    parsed = V.parse_wide(landed)
+    incoming = V.shape_bars(parsed, PROVIDER_DEFAULT, X.FIXTURE_INGEST_ID, X.FIXTURE_SYSTEM_DATE)
+    existing = _before(X.stored_bars(spark, sf), LOAD_EXISTING_BEFORE)
+    return V.ingest_stats(parsed, S.new_bars(incoming, existing))
+
+
+def _load_batch(spark, sf):
+    stored = X.stored_bars(spark, sf)
+    batch = _from(stored, LOAD_BATCH_FROM)
+    replay = (batch.filter(F.date_format("business_date", "yyyy-MM") == REPLAY_MONTH)
+              .withColumn("ingest_id", F.lit(REPLAY_INGEST_ID))
+              .withColumn("system_date", F.lit(REPLAY_SYSTEM_DATE).cast("timestamp_ntz")))
+    return _before(stored, LOAD_EXISTING_BEFORE), batch.unionByName(replay)
+
+
+@query("load_new_bars")
+def q_load_new_bars(spark, sf):
+    existing, incoming = _load_batch(spark, sf)
+    return _flat_stored(S.new_bars(incoming, existing))
+
+
+@query("upsert_rollups")
+def q_upsert_rollups(spark, sf):
+    stored = X.stored_bars(spark, sf)
+    target = R.monthly_rollup(_before(stored, LOAD_EXISTING_BEFORE))
+    src = R.monthly_rollup(_from(stored, LOAD_BATCH_FROM))
+    return R.flatten_rollups(S.upsert(target, src))
+
+
+# -- reads ----------------------------------------------------------------------
+
+@query("recent_bars")
+def q_recent_bars(spark, sf):
+    return RD.recent_bars(X.stored_bars(spark, sf), 30)
+
+
+@query("recent_rollups")
+def q_recent_rollups(spark, sf):
+    r = RD.recent_rollups(R.monthly_rollup(X.stored_bars(spark, sf)), 12)
+    return R.flatten_rollups(r).join(r.select("asset_id", "period", "rank"), ["asset_id", "period"])
+
+
+@query("bars_in_range")
+def q_bars_in_range(spark, sf):
+    return _flat_stored(RD.bars_in_range(X.stored_bars(spark, sf), RANGE_START, RANGE_END,
+                                         source=PROVIDER_DEFAULT))
+
+
+@query("bars_payload")
+def q_bars_payload(spark, sf):
+    stored = X.stored_bars(spark, sf)
+    ids = stored.select(F.col("meta.asset_id").alias("assetId")).distinct()
+    s, e = (F.lit(x).cast("timestamp_ntz") for x in (PAYLOAD_START, PAYLOAD_END))
+    req = (ids.select("assetId", F.lit(PROVIDER_DEFAULT).alias("dataSourceId"), s.alias("start"), e.alias("end"))
+           .unionByName(ids.select("assetId", F.lit(PROVIDER_ALT).alias("dataSourceId"),
+                                   s.alias("start"), e.alias("end"))))
+    return RD.bars_payload(stored, req)
+
+
+# -- catalogue ------------------------------------------------------------------
+
+def _history(spark, sf):
+    return C.scd2_history(X.asset_changes(spark, sf))
+
+
+def _flat_history(h: DataFrame) -> DataFrame:
+    return h.select("asset_id", "life", "version",
+                    iso_datetime("valid_from").alias("valid_from"),
+                    iso_datetime("valid_to").alias("valid_to"),
+                    "is_deleted", "seq", "symbol", "asset_class", "description",
+                    F.col("attributes").getItem("source").alias("source"),
+                    F.col("attributes").getItem("currency").alias("currency"), "attr")
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf):
+    return _flat_history(_history(spark, sf))
+
+
+@query("scd2_apply")
+def q_scd2_apply(spark, sf):
+    ch = X.asset_changes(spark, sf)
+    cut = F.lit(SCD2_SPLIT).cast("timestamp_ntz")
+    old = C.scd2_history(ch.filter(F.col("change_ts") < cut))
+    return _flat_history(C.scd2_apply(old, ch.filter(F.col("change_ts") >= cut)))
 
 
-# -- aggregations -------------------------------------------------------------
+@query("active_assets")
+def q_active_assets(spark, sf):
+    return C.active_assets(_history(spark, sf), offset=20, limit=50)
+
+
+@query("current_asset")
+def q_current_asset(spark, sf):
+    return _flat_history(C.current_asset(_history(spark, sf)))
+
+
+@query("data_sources")
+def q_data_sources(spark, sf):
+    return C.data_sources(_history(spark, sf), 0, 20)
+
+
+@query("data_source_detail")
+def q_data_source_detail(spark, sf):
+    h = _history(spark, sf)
+    asked = h.select(F.col("attributes").getItem("source").alias("source_id")).distinct()
+    return C.data_source_detail(h, asked)
+
+
+# -- aggregations -----------------------------------------------------------------
 
 @query("monthly_rollup")
 def q_monthly_rollup(spark, sf):
@@ -51,3 +231,97 @@ def q_yearly_counts(spark, sf):
 @query("coverage_report")
 def q_coverage_report(spark, sf):
     return R.coverage_report(X.daily_bars(spark, sf))
+
+
+# -- quant and chart series -----------------------------------------------------------
+
+@query("daily_returns")
+def q_daily_returns(spark, sf):
+    return Q.daily_returns(X.daily_bars(spark, sf), 365).withColumn("business_date", iso_date("business_date"))
+
+
+@query("rsi_series")
+def q_rsi_series(spark, sf):
+    r = Q.rsi_series(X.daily_bars(spark, sf), 14)
+    return r.select("asset_id", iso_date("business_date").alias("business_date"), "close",
+                    F.round("rsi", 6).alias("rsi"), "market_condition")
+
+
+@query("rsi_latest")
+def q_rsi_latest(spark, sf):
+    return Q.rsi_latest(X.daily_bars(spark, sf), 14)
+
+
+@query("asset_correlation")
+def q_asset_correlation(spark, sf):
+    b = X.daily_bars(spark, sf)
+    return Q.asset_correlation(b, Q.benchmark_pairs(b), 365)
+
+
+@query("pair_growth")
+def q_pair_growth(spark, sf):
+    b = X.daily_bars(spark, sf)
+    return Q.pair_growth(b, Q.benchmark_pairs(b), 90)
+
+
+@query("return_histogram")
+def q_return_histogram(spark, sf):
+    return Q.return_histogram(X.daily_bars(spark, sf), 365)
+
+
+@query("price_series")
+def q_price_series(spark, sf):
+    return RD.price_series(R.monthly_rollup(X.stored_bars(spark, sf)), 6)
+
+
+@query("volume_series")
+def q_volume_series(spark, sf):
+    return RD.volume_series(X.stored_bars(spark, sf), 60)
+
+
+# -- features, models, forecasts ------------------------------------------------------
+
+def _features(spark, sf):
+    return M.return_features(X.daily_bars(spark, sf))
+
+
+@query("return_features")
+def q_return_features(spark, sf):
+    f = _features(spark, sf)
+    return f.select("asset_id", iso_date("bdate").alias("bdate"), "target_open", "close", "volume",
+                    "prev_open", "prev_close", "prev_volume", F.round("ma_7d_close", 6).alias("ma_7d_close"),
+                    "yesterday_trend", "target_return")
+
+
+@query("chrono_split")
+def q_chrono_split(spark, sf):
+    s = M.chrono_split(_features(spark, sf))
+    return s.select("asset_id", iso_date("bdate").alias("bdate"), "train_rank", "split")
+
+
+@query("chrono_split_rows")
+def q_chrono_split_rows(spark, sf):
+    s = M.chrono_split_rows(_features(spark, sf))
+    return s.select("asset_id", iso_date("bdate").alias("bdate"), "row_num", "train_size", "split")
+
+
+@query("gbt_forecast")
+def q_gbt_forecast(spark, sf):
+    f = M.gbt_forecast(_features(spark, sf))
+    return f.select("asset_id", iso_date("bdate").alias("bdate"), "target_open", "predicted_price_usd",
+                    "prediction", iso_date("feature_date").alias("feature_date"))
+
+
+@query("gbt_metrics")
+def q_gbt_metrics(spark, sf):
+    return M.gbt_metrics(_features(spark, sf))
+
+
+@query("model_leaderboard")
+def q_model_leaderboard(spark, sf):
+    return M.model_leaderboard(_features(spark, sf))
+
+
+@query("forecast_view")
+def q_forecast_view(spark, sf):
+    return M.forecast_view(X.synthetic_predictions(spark, sf), FORECAST_AS_OF, 5)
