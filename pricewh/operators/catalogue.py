@@ -33,21 +33,29 @@ def _payload(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in KEYS and not c.startswith("_")]
 
 
+def _bucket(unit: str):
+    # A day bucket of a timestamp_ntz is its date (no zone involved).
+    return F.to_date("change_ts") if unit == "day" else F.date_trunc(unit, "change_ts")
+
+
 def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
     payload = _payload(changes)
     order = ["change_ts", "seq"]
-    df = changes.withColumn("_bkt", F.date_trunc(bucket, "change_ts"))
+    df = changes.withColumn("_bkt", _bucket(bucket))
     if not seeded:
         df = df.withColumn("_seed", F.lit(False))
-
-    # 1. previous raw change (to drop no-op deletes and fill tombstones)
     wl = Window.partitionBy("asset_id", "_bkt").orderBy(*order)
-    prev = F.struct(F.col("op"), *[F.col(c) for c in payload])
-    df = df.withColumn("_prev", F.lag(prev).over(wl)).withColumn("_lr", F.row_number().over(wl))
-    s1 = (df.groupBy("asset_id", "_bkt")
-          .agg(F.max_by(prev, F.struct(*order)).alias("_last")))
-    s1 = s1.withColumn("_prev_b", F.lag("_last").over(Window.partitionBy("asset_id").orderBy("_bkt"))) \
-           .select("asset_id", "_bkt", "_prev_b")
+    upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wa = Window.partitionBy("asset_id").orderBy("_bkt")
+
+    # 1. previous raw change (drops no-op deletes, fills tombstones).  The
+    #    last row of each bucket (no successor) is its bucket's summary.
+    row = F.struct(F.col("op"), *[F.col(c) for c in payload])
+    df = (df.withColumn("_prev", F.lag(row).over(wl))
+            .withColumn("_lr", F.row_number().over(wl))
+            .withColumn("_end", F.lead("seq").over(wl).isNull()))
+    s1 = (df.filter("_end").select("asset_id", "_bkt", row.alias("_row"))
+          .withColumn("_prev_b", F.lag("_row").over(wa)).select("asset_id", "_bkt", "_prev_b"))
     df = df.join(s1, ["asset_id", "_bkt"])
     p = F.when(F.col("_lr") == 1, F.col("_prev_b")).otherwise(F.col("_prev"))
     is_del = F.col("op") == "delete"
@@ -57,25 +65,28 @@ def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
         is_del.alias("is_deleted"),
         *[F.when(is_del & ~F.col("_seed"), p.getField(c)).otherwise(F.col(c)).alias(c) for c in payload])
 
-    # 2. ranks, lives and next change over the effective rows
+    # 2. running counters inside each bucket over the effective rows; the
+    #    bucket's last row carries its totals into the per-asset summary.
+    d = F.col("is_deleted").cast("int")
+    dr = F.when(F.col("is_deleted"), F.row_number().over(wl))
     df = (df.withColumn("_r", F.row_number().over(wl))
-            .withColumn("_d", F.col("is_deleted").cast("int")))
-    s2 = (df.groupBy("asset_id", "_bkt")
-          .agg(F.count(F.lit(1)).alias("_n"), F.sum("_d").alias("_nd"),
-               F.max(F.when(F.col("is_deleted"), F.col("_r"))).alias("_ldr"),
-               F.min(F.struct(*order)).getField("change_ts").alias("_first_ts")))
-    wa = Window.partitionBy("asset_id").orderBy("_bkt")
+            .withColumn("_cd", F.sum(d).over(upto))
+            .withColumn("_pdr_l", F.max(dr).over(wl.rowsBetween(*_BEFORE)))
+            .withColumn("_first", F.first("change_ts").over(upto))
+            .withColumn("_next", F.lead("change_ts").over(wl)))
+    s2 = (df.filter(F.col("_next").isNull())
+          .select("asset_id", "_bkt", F.col("_r").alias("_n"), F.col("_cd").alias("_nd"),
+                  F.coalesce(F.when(F.col("is_deleted"), F.col("_r")), F.col("_pdr_l")).alias("_ldr"),
+                  F.col("_first").alias("_first_ts")))
     s2 = (s2.withColumn("_off", F.coalesce(F.sum("_n").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
             .withColumn("_doff", F.coalesce(F.sum("_nd").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
             .withColumn("_next_ts", F.lead("_first_ts").over(wa)))
     s2 = s2.withColumn("_pdr", F.max(F.col("_off") + F.col("_ldr")).over(wa.rowsBetween(*_BEFORE)))
     df = df.join(s2.select("asset_id", "_bkt", "_off", "_doff", "_next_ts", "_pdr"), ["asset_id", "_bkt"])
-    before = wl.rowsBetween(*_BEFORE)
     rank = F.col("_off") + F.col("_r")
-    local_pdr = F.max(F.when(F.col("is_deleted"), F.col("_r"))).over(before)
-    last_del = F.coalesce(F.col("_off") + local_pdr, F.col("_pdr"), F.lit(0))
-    life = F.col("_doff") + F.coalesce(F.sum("_d").over(before), F.lit(0))
-    nxt = F.coalesce(F.lead("change_ts").over(wl), F.col("_next_ts"))
+    last_del = F.coalesce(F.col("_off") + F.col("_pdr_l"), F.col("_pdr"), F.lit(0))
+    life = F.col("_doff") + F.col("_cd") - d
+    nxt = F.coalesce(F.col("_next"), F.col("_next_ts"))
     return df.select(
         "asset_id",
         life.cast("bigint").alias("life"),
