@@ -76,9 +76,11 @@ def append_new_bars(spark: SparkSession, incoming: DataFrame, path: str) -> int:
         existing = None
     new = new_bars(incoming, existing) if existing is not None else dedup_bars(incoming).drop("asset_id")
     obs = Observation("load")
-    new = new.observe(obs, F.count(F.lit(1)).alias("stored"))
-    write_bars(new, path)
-    return int(obs.get.get("stored", 0))
+    write_bars(new.observe(obs, F.count(F.lit(1)).alias("stored")), path)
+    try:
+        return int(obs.get["stored"])
+    except Exception:  # noqa: BLE001 - AQE dropped the metrics of an empty result
+        return int(new.count())
 
 
 def upsert(target: DataFrame, src: DataFrame, keys=ROLLUP_KEY) -> DataFrame:
