@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pricewh.functions.columns import (LABEL_FUTURE, LABEL_PAST, LABEL_TODAY,
                                        LABEL_TOMORROW, iso_date)
 from pricewh.operators.reads import latest_n
+from pricewh.session import checkpoint_dir
 
 FEATURES = ["prev_close", "prev_volume", "ma_7d_close", "yesterday_trend"]
 LABEL = "target_return"
@@ -75,13 +76,18 @@ def _persisted_split(split_df: DataFrame):
 
 def _gbt(seed: int = 42):
     from pyspark.ml.regression import GBTRegressor
-    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=20, maxDepth=5, seed=seed)
+    # checkpointInterval: every 10 boosting rounds the running predictions
+    # are checkpointed (reliably, in the shared checkpoint folder), so a
+    # lost executor late in training does not replay every earlier round.
+    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=20, maxDepth=5, seed=seed,
+                        checkpointInterval=10)
 
 
 def train_gbt(features: DataFrame, seed: int = 42):
     """M3-M4: fit one GBT on all assets' training rows; returns the model
     and the scored test rows.  Training data is persisted (memory, then
     disk) for the iterations and released by the caller via ``release``."""
+    checkpoint_dir(features.sparkSession)
     train, test = _persisted_split(chrono_split(features))
     model = _gbt(seed).fit(train)
     return model, model.transform(test), (train, test)
@@ -127,6 +133,7 @@ def model_leaderboard(features: DataFrame, seed: int = 42) -> DataFrame:
     """M7: linear regression, random forest and GBT on the row-count split,
     with RMSE, R² and fit+score seconds, best (lowest RMSE) first."""
     from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+    checkpoint_dir(features.sparkSession)
     train, test = _persisted_split(chrono_split_rows(features))
     models = [
         ("Linear Regression", LinearRegression(featuresCol="features", labelCol=LABEL, maxIter=10)),
