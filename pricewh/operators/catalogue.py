@@ -39,6 +39,18 @@ def _bucket(unit: str):
 
 
 def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
+    """One shuffle of the log by (asset, bucket), one window pass, and one
+    small summary row per bucket.
+
+    Inside a bucket everything is known except whether a *leading* delete
+    is effective: that depends on the previous bucket's last raw change
+    (a delete only counts after a save).  Each bucket therefore reports its
+    counters without that row plus a flag; the per-asset window over the
+    summaries resolves the flag from the previous bucket's last change and
+    turns the counters into offsets.  A save's ``valid_to`` is the next raw
+    change (a change after a save is always effective), so no look-ahead
+    over effective rows is needed.
+    """
     payload = _payload(changes)
     order = ["change_ts", "seq"]
     df = changes.withColumn("_bkt", _bucket(bucket))
@@ -48,52 +60,61 @@ def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wa = Window.partitionBy("asset_id").orderBy("_bkt")
 
-    # 1. previous raw change (drops no-op deletes, fills tombstones).  The
-    #    last row of each bucket (no successor) is its bucket's summary.
     row = F.struct(F.col("op"), *[F.col(c) for c in payload])
-    df = (df.withColumn("_prev", F.lag(row).over(wl))
-            .withColumn("_lr", F.row_number().over(wl))
-            .withColumn("_end", F.lead("seq").over(wl).isNull()))
-    s1 = (df.filter("_end").select("asset_id", "_bkt", row.alias("_row"))
-          .withColumn("_prev_b", F.lag("_row").over(wa)).select("asset_id", "_bkt", "_prev_b"))
-    df = df.join(s1, ["asset_id", "_bkt"])
-    p = F.when(F.col("_lr") == 1, F.col("_prev_b")).otherwise(F.col("_prev"))
     is_del = F.col("op") == "delete"
-    eff = (~is_del) | (p.getField("op") == "save") | F.col("_seed")
-    df = df.filter(eff).select(
-        "asset_id", "change_ts", "seq", "_bkt", "_seed",
-        is_del.alias("is_deleted"),
-        *[F.when(is_del & ~F.col("_seed"), p.getField(c)).otherwise(F.col(c)).alias(c) for c in payload])
-
-    # 2. running counters inside each bucket over the effective rows; the
-    #    bucket's last row carries its totals into the per-asset summary.
-    d = F.col("is_deleted").cast("int")
-    dr = F.when(F.col("is_deleted"), F.row_number().over(wl))
-    df = (df.withColumn("_r", F.row_number().over(wl))
-            .withColumn("_cd", F.sum(d).over(upto))
-            .withColumn("_pdr_l", F.max(dr).over(wl.rowsBetween(*_BEFORE)))
-            .withColumn("_first", F.first("change_ts").over(upto))
+    df = (df.withColumn("_lr", F.row_number().over(wl))
+            .withColumn("_prev", F.lag(row).over(wl))
             .withColumn("_next", F.lead("change_ts").over(wl)))
-    s2 = (df.filter(F.col("_next").isNull())
-          .select("asset_id", "_bkt", F.col("_r").alias("_n"), F.col("_cd").alias("_nd"),
-                  F.coalesce(F.when(F.col("is_deleted"), F.col("_r")), F.col("_pdr_l")).alias("_ldr"),
-                  F.col("_first").alias("_first_ts")))
-    s2 = (s2.withColumn("_off", F.coalesce(F.sum("_n").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
-            .withColumn("_doff", F.coalesce(F.sum("_nd").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
-            .withColumn("_next_ts", F.lead("_first_ts").over(wa)))
-    s2 = s2.withColumn("_pdr", F.max(F.col("_off") + F.col("_ldr")).over(wa.rowsBetween(*_BEFORE)))
-    df = df.join(s2.select("asset_id", "_bkt", "_off", "_doff", "_next_ts", "_pdr"), ["asset_id", "_bkt"])
-    rank = F.col("_off") + F.col("_r")
-    last_del = F.coalesce(F.col("_off") + F.col("_pdr_l"), F.col("_pdr"), F.lit(0))
-    life = F.col("_doff") + F.col("_cd") - d
+    lead_del = (F.col("_lr") == 1) & is_del & ~F.col("_seed")       # effective iff previous bucket ends in a save
+    base = F.when(lead_del, False).otherwise(
+        ~is_del | F.col("_seed") | (F.col("_prev").getField("op") == "save"))
+    df = df.withColumn("_fd", lead_del).withColumn("_b", base)
+    bd = (F.col("_b") & is_del)
+    df = (df.withColumn("_c", F.sum(F.col("_b").cast("int")).over(upto))
+            .withColumn("_cd", F.sum(bd.cast("int")).over(upto))
+            .withColumn("_ldr", F.max(F.when(bd, F.col("_c"))).over(upto))
+            .withColumn("_ldr_prev", F.max(F.when(bd, F.col("_c"))).over(wl.rowsBetween(*_BEFORE)))
+            .withColumn("_has_fd", F.first("_fd").over(upto))
+            .withColumn("_first_ts", F.first("change_ts").over(upto)))
+
+    # per-bucket summary from each bucket's last row, resolved per asset
+    s = (df.filter(F.col("_next").isNull())
+         .select("asset_id", "_bkt", row.alias("_last"), F.col("_has_fd"), F.col("_c").alias("_n0"),
+                 F.col("_cd").alias("_nd0"), F.col("_ldr").alias("_ldr0"), "_first_ts"))
+    prev_last = F.lag("_last").over(wa)
+    s = (s.withColumn("_prev_b", prev_last)
+          .withColumn("_h", F.col("_has_fd") & F.coalesce(prev_last.getField("op") == "save", F.lit(False))))
+    hi = F.col("_h").cast("int")
+    s = (s.withColumn("_n", F.col("_n0") + hi)
+          .withColumn("_nd", F.col("_nd0") + hi)
+          .withColumn("_ldr_b", F.when(F.col("_ldr0").isNotNull(), F.col("_ldr0") + hi)
+                      .when(F.col("_h"), F.lit(1)))
+          .withColumn("_next_ts", F.lead("_first_ts").over(wa)))
+    s = (s.withColumn("_off", F.coalesce(F.sum("_n").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
+          .withColumn("_doff", F.coalesce(F.sum("_nd").over(wa.rowsBetween(*_BEFORE)), F.lit(0))))
+    s = s.withColumn("_pdr", F.max(F.col("_off") + F.col("_ldr_b")).over(wa.rowsBetween(*_BEFORE)))
+    df = df.join(s.select("asset_id", "_bkt", "_prev_b", "_h", "_off", "_doff", "_next_ts", "_pdr"),
+                 ["asset_id", "_bkt"])
+
+    fd, h = F.col("_fd"), F.col("_h")
+    shift = (h & ~fd).cast("int")             # an effective leading delete precedes this row
+    eff = F.col("_b") | (fd & h)
+    r = F.when(fd, F.lit(1)).otherwise(F.col("_c") + shift)
+    dels_before = F.when(fd, F.lit(0)).otherwise(F.col("_cd") - bd.cast("int") + shift)
+    local_last = F.when(fd, F.lit(None)).otherwise(
+        F.coalesce(F.col("_ldr_prev") + shift, F.when(h, F.lit(1))))
+    last_del = F.coalesce(F.col("_off") + local_last, F.col("_pdr"), F.lit(0))
+    prev = F.when(F.col("_lr") == 1, F.col("_prev_b")).otherwise(F.col("_prev"))
+    tomb = is_del & ~F.col("_seed")
     nxt = F.coalesce(F.col("_next"), F.col("_next_ts"))
-    return df.select(
+    return df.filter(eff).select(
         "asset_id",
-        life.cast("bigint").alias("life"),
-        (rank - last_del).cast("bigint").alias("version"),
+        (F.col("_doff") + dels_before).cast("bigint").alias("life"),
+        (F.col("_off") + r - last_del).cast("bigint").alias("version"),
         F.col("change_ts").alias("valid_from"),
-        F.when(F.col("is_deleted"), F.lit(None)).otherwise(nxt).alias("valid_to"),
-        "is_deleted", "seq", "_seed", *payload)
+        F.when(is_del, F.lit(None)).otherwise(nxt).alias("valid_to"),
+        is_del.alias("is_deleted"), "seq", "_seed",
+        *[F.when(tomb, prev.getField(c)).otherwise(F.col(c)).alias(c) for c in payload])
 
 
 def scd2_history(changes: DataFrame, bucket: str = "day") -> DataFrame:
