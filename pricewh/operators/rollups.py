@@ -46,8 +46,8 @@ def monthly_rollup(stored: DataFrame) -> DataFrame:
     )
 
 
-def flatten_rollups(r: DataFrame) -> DataFrame:
-    return r.select("asset_id", "interval_type", "period",
+def flatten_rollups(r: DataFrame, *extra: str) -> DataFrame:
+    return r.select("asset_id", "interval_type", "period", *extra,
                     F.col("stats.count").alias("count"), F.col("stats.high").alias("high"),
                     F.col("stats.low").alias("low"), F.col("stats.average").alias("average"))
 

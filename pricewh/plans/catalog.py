@@ -146,7 +146,7 @@ def q_recent_bars(spark, sf):
 @query("recent_rollups")
 def q_recent_rollups(spark, sf):
     r = RD.recent_rollups(R.monthly_rollup(X.stored_bars(spark, sf)), 12)
-    return R.flatten_rollups(r).join(r.select("asset_id", "period", "rank"), ["asset_id", "period"])
+    return R.flatten_rollups(r, "rank")
 
 
 @query("bars_in_range")

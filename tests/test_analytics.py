@@ -153,3 +153,15 @@ def test_growth_since_first_shared_day(spark):
     g = Q.pair_growth(_flat(spark, rows), Q.pairs_from_list(spark, [("a", "b")]), 90).orderBy("date").collect()
     assert [r.date for r in g] == ["2024-01-02", "2024-01-03"]
     assert [r.growth1 for r in g] == [0.0, 50.0] and [r.growth2 for r in g] == [0.0, 0.0]
+
+
+def test_intraday_bars_rollup_and_coverage(spark):
+    bars = X.intraday_bars(spark, SF)
+    cov = {r.asset_id: r for r in R.coverage_report(bars).collect()}
+    ev = spark.read.parquet(SF + "/events.parquet")
+    assert set(cov) == {r.event_type + "_usd_crypto_01" for r in ev.select("event_type").distinct().collect()}
+    total = sum(r.total_trading_days_stored for r in cov.values())
+    assert total == bars.count()
+    roll = R.flatten_rollups(R.monthly_rollup(X.to_stored(bars))).collect()
+    assert sum(r["count"] for r in roll) == total
+    assert all(r.low <= r.average <= r.high for r in roll)

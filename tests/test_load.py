@@ -81,3 +81,11 @@ def test_upsert_of_overlapping_rollups_equals_full_rollup(spark):
     up = R.flatten_rollups(S.upsert(a, b))
     full = R.flatten_rollups(R.monthly_rollup(stored))
     assert up.exceptAll(full).count() == 0 and full.exceptAll(up).count() == 0
+
+
+def test_overwrite_replaces_result_table(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "totals")
+    df = spark.createDataFrame([("a", 2024, 3)], "asset_id string, business_date_year int, cnt long")
+    S.overwrite(df, path)
+    S.overwrite(df.union(df.withColumn("asset_id", F.lit("b"))), path)
+    assert sorted(r.asset_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
