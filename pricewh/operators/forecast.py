@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricewh.functions.columns import (LABEL_FUTURE, LABEL_PAST, LABEL_TODAY,
                                        LABEL_TOMORROW, iso_date)
+from pricewh.operators import windows as W
 from pricewh.operators.reads import latest_n
 from pricewh.session import checkpoint_dir
 
@@ -29,35 +30,46 @@ def return_features(bars: DataFrame) -> DataFrame:
     """Lagged open/close/volume, mean close of the previous
     7 rows (partial frames allowed), rows with any NULL/NaN dropped, then
     yesterday's trend and the open-vs-previous-close return (rows whose
-    previous close is 0 have no label and are dropped)."""
-    w = Window.partitionBy("asset_id").orderBy("bdate")
-    df = (bars.select("asset_id", F.col("business_date").alias("bdate"),
-                      F.col("open").alias("target_open"), "close", "volume")
-          .withColumn("prev_open", F.lag("target_open").over(w))
-          .withColumn("prev_close", F.lag("close").over(w))
-          .withColumn("prev_volume", F.lag("volume").over(w))
-          .withColumn("ma_7d_close", F.avg("close").over(w.rowsBetween(-7, -1)))
-          .dropna())
+    previous close is 0 have no label and are dropped).
+
+    The windows run per (asset, month) with the 7 preceding rows copied in
+    (``windows.with_lookback``), so no task holds a whole asset."""
+    x = W.with_lookback(bars.select("asset_id", F.col("business_date").alias("bdate"),
+                                    F.col("open").alias("target_open"), "close", "volume"),
+                        "asset_id", "bdate", 7)
+    w = W.by_chunk("asset_id")
+    df = (x.withColumn("prev_open", F.lag("target_open").over(w))
+           .withColumn("prev_close", F.lag("close").over(w))
+           .withColumn("prev_volume", F.lag("volume").over(w))
+           .withColumn("ma_7d_close", F.avg("close").over(w.rowsBetween(-7, -1)))
+           .filter(~F.col("_halo")))
+    df = W.drop_internal(df).dropna()
     return (df.withColumn("yesterday_trend", F.col("prev_close") - F.col("prev_open"))
               .withColumn(LABEL, F.try_divide(F.col("target_open") - F.col("prev_close"), F.col("prev_close")))
               .filter(F.col(LABEL).isNotNull()))
 
 
 def chrono_split(features: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
-    """Per asset ``percent_rank`` by date; train when <= fraction."""
-    w = Window.partitionBy("asset_id").orderBy("bdate")
-    return (features.withColumn("train_rank", F.percent_rank().over(w))
-            .withColumn("split", F.when(F.col("train_rank") <= fraction, "train").otherwise("test")))
+    """Per asset ``percent_rank`` by date; train when <= fraction.
+
+    The rank comes from per-(asset, month) row numbers plus month offsets
+    (``windows.ranked``), not from a window over the whole asset."""
+    r = W.ranked(features, "asset_id", "bdate")
+    pr = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
+        (F.col("_g") - 1).cast("double") / (F.col("_n") - 1).cast("double"))
+    return W.drop_internal(r.withColumn("train_rank", pr)
+                           .withColumn("split", F.when(F.col("train_rank") <= fraction, "train")
+                                       .otherwise("test")))
 
 
 def chrono_split_rows(features: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
     """Per asset row number by date; the first int(fraction * n) rows
     train, the rest test."""
-    w = Window.partitionBy("asset_id").orderBy("bdate")
-    n = F.count(F.lit(1)).over(Window.partitionBy("asset_id"))
-    return (features.withColumn("row_num", F.row_number().over(w))
-            .withColumn("train_size", (n * F.lit(fraction)).cast("bigint"))
-            .withColumn("split", F.when(F.col("row_num") <= F.col("train_size"), "train").otherwise("test")))
+    r = W.ranked(features, "asset_id", "bdate")
+    return W.drop_internal(
+        r.withColumn("row_num", F.col("_g"))
+         .withColumn("train_size", (F.col("_n") * F.lit(fraction)).cast("bigint"))
+         .withColumn("split", F.when(F.col("row_num") <= F.col("train_size"), "train").otherwise("test")))
 
 
 def _assemble(df: DataFrame) -> DataFrame:

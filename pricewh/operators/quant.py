@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricewh.functions.columns import (correlation_label, iso_date, pct_change,
                                        rsi_label)
+from pricewh.operators import windows as W
 from pricewh.operators.reads import latest_n
 
 HIST_BINS = 50
@@ -32,30 +33,33 @@ def daily_returns(bars: DataFrame, n: int = 365) -> DataFrame:
             .select("asset_id", "business_date", "close", "daily_return"))
 
 
-def _rsi_cols(df: DataFrame, periods: int) -> DataFrame:
+def _rsi_cols(df: DataFrame, periods: int, w=None) -> DataFrame:
     if periods < 1:
         raise ValueError("periods must be >= 1")
-    w = _by_asset()
+    w = _by_asset() if w is None else w
     delta = F.col("close") - F.lag("close").over(w)
     df = df.withColumn("_delta", delta)
     gain = F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(F.lit(0.0))
     loss = F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(F.lit(0.0))
     frame = w.rowsBetween(-(periods - 1), 0)
-    df = (df.withColumn("_g", F.avg(gain).over(frame))
-            .withColumn("_l", F.avg(loss).over(frame))
+    df = (df.withColumn("_avg_gain", F.avg(gain).over(frame))
+            .withColumn("_avg_loss", F.avg(loss).over(frame))
             .withColumn("_k", F.count(F.lit(1)).over(frame)))
+    ag, al = F.col("_avg_gain"), F.col("_avg_loss")
     rsi = (F.when(F.col("_k") < periods, F.lit(None))
-           .when((F.col("_l") == 0) & (F.col("_g") == 0), F.lit(None))
-           .when(F.col("_l") == 0, F.lit(100.0))
-           .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("_g") / F.col("_l"))))
+           .when((al == 0) & (ag == 0), F.lit(None))
+           .when(al == 0, F.lit(100.0))
+           .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + ag / al)))
     return df.withColumn("rsi", rsi.cast("double")).withColumn("_full", F.col("_k") >= periods)
 
 
 def rsi_series(bars: DataFrame, periods: int = 14) -> DataFrame:
     """W8 over the whole history: simple rolling means of gains and losses
-    over ``periods`` rows; rows without a full frame are left out.  The
-    frame is bounded, so each row reads at most ``periods`` neighbours."""
-    df = _rsi_cols(bars.select("asset_id", "business_date", "close"), periods)
+    over ``periods`` rows; rows without a full frame are left out.  Runs per
+    (asset, month) with the ``periods`` preceding bars copied in
+    (``windows.with_lookback``), so no task holds a whole asset."""
+    x = W.with_lookback(bars.select("asset_id", "business_date", "close"), "asset_id", "business_date", periods)
+    df = _rsi_cols(x, periods, W.by_chunk("asset_id")).filter(~F.col("_halo"))
     return (df.filter("_full")
             .select("asset_id", "business_date", "close", "rsi",
                     rsi_label("rsi").alias("market_condition")))
