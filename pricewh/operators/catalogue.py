@@ -154,6 +154,18 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day") -> Dat
     return kept.unionByName(new.select(*history.columns))
 
 
+def scd2_apply_stored(spark, history_path: str, batch: DataFrame, out_path: str,
+                      bucket: str = "day") -> DataFrame:
+    """V3 on stored tables: read the history at ``history_path``, apply
+    ``batch`` and write the new history to ``out_path`` (a new path; a job
+    never overwrites what it reads).  Returns the written table, so a chain
+    of batches keeps a short lineage."""
+    if history_path.rstrip("/") == out_path.rstrip("/"):
+        raise ValueError("out_path must differ from history_path")
+    from pricewh.sources.sinks import materialize
+    return materialize(scd2_apply(spark.read.parquet(history_path), batch, bucket), out_path)
+
+
 def live(history: DataFrame) -> DataFrame:
     """Open, not deleted versions (one per live asset)."""
     return history.filter(F.col("valid_to").isNull() & ~F.col("is_deleted"))

@@ -95,3 +95,16 @@ def upsert(target: DataFrame, src: DataFrame, keys=ROLLUP_KEY) -> DataFrame:
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace a result table (the path must not be an input)."""
     df.write.mode("overwrite").parquet(path)
+
+
+def materialize(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
+    """Write ``df`` as a table and return it read back: a lineage cut that
+    survives executor loss.  Without ``path`` the table goes under the
+    shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local
+    temporary folder on a cluster."""
+    import uuid
+    from pricewh.session import scratch_path
+    spark = df.sparkSession
+    path = path or scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

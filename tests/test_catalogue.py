@@ -128,3 +128,24 @@ def test_apply_batch_equals_one_pass(spark, changes, cut_day):
     hist = C.scd2_history(_log(spark, old))
     applied = C.scd2_apply(hist, _log(spark, new))
     assert _rows(applied) == sorted(_key(r) for r in fold(rows))
+
+
+def test_apply_chain_on_stored_tables(spark, tmpdir_fresh):
+    import os
+    import pytest
+    from pricewh.sources.sinks import materialize
+    rows = _to_rows([("a", d, 1, op, "x") for d, op in enumerate(["save", "save", "delete", "save", "save"])])
+    base = materialize(C.scd2_history(_log(spark, rows[:2])), os.path.join(tmpdir_fresh, "v0"))
+    v1 = C.scd2_apply_stored(spark, os.path.join(tmpdir_fresh, "v0"), _log(spark, rows[2:4]),
+                             os.path.join(tmpdir_fresh, "v1"))
+    v2 = C.scd2_apply_stored(spark, os.path.join(tmpdir_fresh, "v1"), _log(spark, rows[4:]),
+                             os.path.join(tmpdir_fresh, "v2"))
+    assert base.count() == 2 and v1.count() == 4
+    assert _rows(v2) == sorted(_key(r) for r in fold(rows))
+    with pytest.raises(ValueError):
+        C.scd2_apply_stored(spark, os.path.join(tmpdir_fresh, "v2"), _log(spark, rows[4:]),
+                            os.path.join(tmpdir_fresh, "v2"))
+    # without a path the table lands under the session's checkpoint folder
+    m = materialize(C.scd2_history(_log(spark, rows[:1])))
+    assert m.count() == 1
+    assert spark.conf.get("spark.checkpoint.dir") in m.inputFiles()[0]
