@@ -190,7 +190,8 @@ def q_scd2_history(spark, sf):
 def q_scd2_apply(spark, sf):
     ch = X.asset_changes(spark, sf)
     cut = F.lit(SCD2_SPLIT).cast("timestamp_ntz")
-    old = C.scd2_history(ch.filter(F.col("change_ts") < cut))
+    # the stored history is a table (written once, under the shared folder)
+    old = S.materialize(C.scd2_history(ch.filter(F.col("change_ts") < cut)), name="scd2-history")
     return _flat_history(C.scd2_apply(old, ch.filter(F.col("change_ts") >= cut)))
 
 
