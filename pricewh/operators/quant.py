@@ -91,17 +91,27 @@ def benchmark_pairs(bars: DataFrame, benchmark: str | None = None) -> DataFrame:
         F.lit(benchmark).alias("asset_id_1"), F.col("asset_id").alias("asset_id_2"))
 
 
-def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+PAIR_SALTS = 16
+
+
+def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int, salts: int = PAIR_SALTS) -> DataFrame:
     """Each pair's newest-n closes (taken per asset first) inner-joined
-    on the UTC calendar day."""
+    on the UTC calendar day.
+
+    One asset may sit in very many pairs (a benchmark), so no join is keyed
+    by a bare asset id: the second series is joined on (asset, salt), with
+    the salt a hash of the partner and each asset's (bounded, newest-n)
+    series copied once per salt; the first series is then joined on
+    (asset, day), which spreads even a benchmark over its days."""
     recent = (latest_n(bars.select("asset_id", "business_date", "close"), n, "asset_id", "business_date")
               .select("asset_id", F.to_date("business_date").alias("date"), "close"))
-    p = pairs.select("asset_id_1", "asset_id_2").distinct()
-    a = p.join(recent.select(F.col("asset_id").alias("asset_id_1"), "date", F.col("close").alias("price1")),
-               "asset_id_1")
-    b = p.join(recent.select(F.col("asset_id").alias("asset_id_2"), "date", F.col("close").alias("price2")),
-               "asset_id_2")
-    return a.join(b, ["asset_id_1", "asset_id_2", "date"])
+    p = (pairs.select("asset_id_1", "asset_id_2").distinct()
+         .withColumn("_salt", F.pmod(F.xxhash64("asset_id_1"), F.lit(salts)).cast("int")))
+    r2 = recent.select(F.col("asset_id").alias("asset_id_2"), "date", F.col("close").alias("price2"),
+                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    b = p.join(r2, ["asset_id_2", "_salt"]).drop("_salt")
+    r1 = recent.select(F.col("asset_id").alias("asset_id_1"), "date", F.col("close").alias("price1"))
+    return b.join(r1, ["asset_id_1", "date"]).select("asset_id_1", "asset_id_2", "date", "price1", "price2")
 
 
 def _by_pair():

@@ -165,3 +165,20 @@ def test_intraday_bars_rollup_and_coverage(spark):
     roll = R.flatten_rollups(R.monthly_rollup(X.to_stored(bars))).collect()
     assert sum(r["count"] for r in roll) == total
     assert all(r.low <= r.average <= r.high for r in roll)
+
+
+def test_aligned_pairs_with_hot_asset_on_both_sides(spark):
+    import itertools
+    rows = [(a, D0 + dt.timedelta(days=d), 1.0, float(10 * i + d + 1), 1.0)
+            for i, a in enumerate("abcdef") for d in range(12) if (d + i) % 5]
+    flat = _flat(spark, rows)
+    pairs = [("a", x) for x in "bcdef"] + [(x, "a") for x in "bcd"] + [("b", "c"), ("a", "b")]
+    got = Q.aligned_pairs(flat, Q.pairs_from_list(spark, pairs), 8, salts=3).toPandas()
+    p = pd.DataFrame(rows, columns=["asset_id", "business_date", "open", "close", "volume"])
+    p = p.sort_values("business_date").groupby("asset_id").tail(8)
+    want = []
+    for a1, a2 in set(pairs):
+        m = pd.merge(p[p.asset_id == a1], p[p.asset_id == a2], on="business_date")
+        want += [(a1, a2, d.date(), x, y) for d, x, y in zip(m.business_date, m.close_x, m.close_y)]
+    assert sorted(map(tuple, got[["asset_id_1", "asset_id_2", "date", "price1", "price2"]].values.tolist())) \
+        == sorted(want)
