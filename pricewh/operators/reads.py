@@ -79,10 +79,16 @@ def bars_payload(stored: DataFrame, requests: DataFrame) -> DataFrame:
     Records are joined on (asset, source) with a range condition; the
     newest record per request comes from a partial ``max_by`` aggregate.
     """
-    b = stored.select(F.col("meta.asset_id").alias("assetId"),
-                      F.col("meta.data_source_id").alias("datasourceId"),
-                      "business_date", "indicators")
     req = requests.select("assetId", F.col("dataSourceId").alias("datasourceId"), "start", "end")
+    # The requests' overall window (two scalars) is pushed into the bar scan,
+    # so only bars some request can match are read and shuffled.
+    lo, hi = req.agg(F.min("start"), F.max("end")).first()
+    b = stored
+    if lo is not None:
+        b = b.filter((F.col("business_date") >= F.lit(lo)) & (F.col("business_date") < F.lit(hi)))
+    b = b.select(F.col("meta.asset_id").alias("assetId"),
+                 F.col("meta.data_source_id").alias("datasourceId"),
+                 "business_date", "indicators")
     rec = (req.join(b, ["assetId", "datasourceId"])
            .filter((F.col("business_date") >= F.col("start")) & (F.col("business_date") < F.col("end"))))
     keys = ["assetId", "datasourceId", "start", "end"]
