@@ -86,6 +86,22 @@ def pct_change(cur, prev) -> Column:
     return F.try_divide(col_(cur), col_(prev)) - F.lit(1.0)
 
 
+def ntz_lit(v) -> Column:
+    """A ``timestamp_ntz`` literal that does not depend on any time zone.
+
+    ``F.lit(datetime)`` makes a zoned TIMESTAMP from the Python process
+    zone; going through text keeps the wall-clock value as it is.
+    """
+    text = v.isoformat(sep=" ") if hasattr(v, "isoformat") else str(v)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def trunc_hour(ts) -> Column:
+    """Hour of a ``timestamp_ntz`` without the session zone (``date_trunc``
+    on NTZ goes through a zoned timestamp)."""
+    return F.to_timestamp_ntz(F.date_format(col_(ts), "yyyy-MM-dd HH:00:00"))
+
+
 def iso_date(ts) -> Column:
     return F.date_format(col_(ts), "yyyy-MM-dd")
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewh.functions.columns import capitalize, check_page, SOURCE_DESCRIPTION_PREFIX
+from pricewh.functions.columns import SOURCE_DESCRIPTION_PREFIX, capitalize, check_page, trunc_hour
 
 KEYS = ("asset_id", "change_ts", "seq", "op")
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -34,8 +34,14 @@ def _payload(df: DataFrame) -> list[str]:
 
 
 def _bucket(unit: str):
-    # A day bucket of a timestamp_ntz is its date (no zone involved).
-    return F.to_date("change_ts") if unit == "day" else F.date_trunc(unit, "change_ts")
+    # Buckets of a timestamp_ntz computed without any time zone.
+    if unit == "day":
+        return F.to_date("change_ts")
+    if unit == "hour":
+        return trunc_hour("change_ts")
+    if unit == "month":
+        return F.trunc(F.to_date("change_ts"), "month")
+    raise ValueError(f"bucket must be hour, day or month, got {unit!r}")
 
 
 def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:

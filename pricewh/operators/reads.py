@@ -13,7 +13,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewh.functions.columns import DEFAULT_ATTRIBUTES, MONTH_INTERVAL, iso_date, iso_datetime
+from pricewh.functions.columns import (DEFAULT_ATTRIBUTES, MONTH_INTERVAL, iso_date, iso_datetime,
+                                       ntz_lit)
 
 
 def _check_n(n: int) -> None:
@@ -49,7 +50,7 @@ def _day(v) -> Column:
     if isinstance(v, (_dt.date, _dt.datetime)):
         v = v.strftime("%Y-%m-%d")
     d = _dt.datetime.strptime(v, "%Y-%m-%d")   # strict, like the API (400 otherwise)
-    return F.lit(d).cast("timestamp_ntz")
+    return ntz_lit(d)
 
 
 def bars_in_range(stored: DataFrame, start, end, asset_ids=None, source: str | None = None,
@@ -85,7 +86,7 @@ def bars_payload(stored: DataFrame, requests: DataFrame) -> DataFrame:
     lo, hi = req.agg(F.min("start"), F.max("end")).first()
     b = stored
     if lo is not None:
-        b = b.filter((F.col("business_date") >= F.lit(lo)) & (F.col("business_date") < F.lit(hi)))
+        b = b.filter((F.col("business_date") >= ntz_lit(lo)) & (F.col("business_date") < ntz_lit(hi)))
     b = b.select(F.col("meta.asset_id").alias("assetId"),
                  F.col("meta.data_source_id").alias("datasourceId"),
                  "business_date", "indicators")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pricewh.functions.columns import (DEFAULT_CURRENCY, PROVIDER_ALT,
                                        PROVIDER_DEFAULT, VENDOR_SERIES_KEY,
-                                       canonical_asset_id)
+                                       canonical_asset_id, trunc_hour)
 from pricewh.sources.tables import table
 
 FIXTURE_INGEST_ID = "job_etl_fixture"
@@ -49,7 +49,7 @@ def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars from ``events``: one crypto pair per event type."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value")
     return (e.groupBy(F.concat(F.col("event_type"), F.lit("_usd_crypto_01")).alias("asset_id"),
-                      F.date_trunc("hour", "ts").alias("business_date"))
+                      trunc_hour("ts").alias("business_date"))
             .agg(F.min_by("value", "event_id").alias("open"),
                  F.max_by("value", "event_id").alias("close"),
                  F.count(F.lit(1)).cast("double").alias("volume")))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pricewh.functions.columns import ntz_lit
+
 BAR_KEY = ["asset_id", "business_date"]
 ROLLUP_KEY = ["asset_id", "period", "interval_type"]
 
@@ -46,7 +48,7 @@ def new_bars(incoming: DataFrame, existing: DataFrame, prune: bool = True) -> Da
         lo, hi = inc.agg(F.min("business_date"), F.max("business_date")).first()
         if lo is None:
             return inc.limit(0)
-        ex = ex.filter((F.col("business_date") >= F.lit(lo)) & (F.col("business_date") <= F.lit(hi)))
+        ex = ex.filter((F.col("business_date") >= ntz_lit(lo)) & (F.col("business_date") <= ntz_lit(hi)))
         if "period" in ex.columns:
             ex = ex.filter(F.col("period").between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m")))
     return (inc.withColumn("asset_id", F.col("meta.asset_id"))

@@ -149,3 +149,11 @@ def test_apply_chain_on_stored_tables(spark, tmpdir_fresh):
     m = materialize(C.scd2_history(_log(spark, rows[:1])))
     assert m.count() == 1
     assert spark.conf.get("spark.checkpoint.dir") in m.inputFiles()[0]
+
+
+def test_bucket_units_agree(spark):
+    rows = _to_rows([("a", d % 3, (7 * d) % 24, op, "x") for d, op in
+                     enumerate(["save", "delete", "save", "save", "delete", "delete", "save"])])
+    want = sorted(_key(r) for r in fold(rows))
+    for unit in ("hour", "day", "month"):
+        assert _rows(C.scd2_history(_log(spark, rows), unit)) == want
