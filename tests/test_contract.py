@@ -54,3 +54,15 @@ def test_spark_equals_duckdb(spark, duck, name):
     assert sorted(s.columns) == sorted(d.columns)
     assert len(s) == len(d)
     assert _rows(s) == _rows(d)
+
+
+@pytest.mark.parametrize("name", ["ingest_wide", "bars_in_range", "load_new_bars", "coverage_report",
+                                  "scd2_history", "forecast_view"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        s = E.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert _rows(s) == _rows(duck.execute(E.oracle_sql()[name]).df())
