@@ -123,12 +123,55 @@ def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
         *[F.when(tomb, prev.getField(c)).otherwise(F.col(c)).alias(c) for c in payload])
 
 
-def scd2_history(changes: DataFrame, bucket: str = "day") -> DataFrame:
-    """Version history for every asset in a change log (V1 + V2)."""
+def _comparable(df: DataFrame, payload: list[str]):
+    """Payload as a comparable value (maps as sorted entry arrays)."""
+    from pyspark.sql.types import MapType
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return F.struct(*[(F.array_sort(F.map_entries(F.col(c))) if isinstance(types[c], MapType) else F.col(c)).alias(c)
+                      for c in payload])
+
+
+def drop_unchanged_saves(changes: DataFrame, bucket: str = "day") -> DataFrame:
+    """Q4 option: drop saves whose payload equals the live version's.
+
+    A save is such a no-op exactly when the previous raw change is a save
+    with the same payload (a chain of equal saves all match the live one;
+    after a delete nothing is live).  Dropping them leaves every other
+    row's previous raw change a save as before, so the scan over the rest
+    gives the history without those versions.  The previous change across
+    bucket edges comes from per-bucket last rows, as in the scan.
+    """
+    payload = [c for c in _payload(changes)]
+    df = changes.withColumn("_bkt", _bucket(bucket)).withColumn("_cmp", _comparable(changes, payload))
+    wl = Window.partitionBy("asset_id", "_bkt").orderBy("change_ts", "seq")
+    df = (df.withColumn("_pop", F.lag("op").over(wl)).withColumn("_pcmp", F.lag("_cmp").over(wl))
+            .withColumn("_lr", F.row_number().over(wl))
+            .withColumn("_end", F.lead("seq").over(wl).isNull()))
+    wa = Window.partitionBy("asset_id").orderBy("_bkt")
+    s = (df.filter("_end").select("asset_id", "_bkt", F.struct("op", "_cmp").alias("_l"))
+         .withColumn("_pb", F.lag("_l").over(wa)).select("asset_id", "_bkt", "_pb"))
+    df = df.join(s, ["asset_id", "_bkt"])
+    first = F.col("_lr") == 1
+    pop = F.when(first, F.col("_pb").getField("op")).otherwise(F.col("_pop"))
+    pcmp = F.when(first, F.col("_pb").getField("_cmp")).otherwise(F.col("_pcmp"))
+    noop = (F.col("op") == "save") & (pop == "save") & F.col("_cmp").eqNullSafe(pcmp)
+    if "_seed" in changes.columns:
+        noop = noop & ~F.col("_seed")
+    return df.filter(~noop).select(*changes.columns)
+
+
+def scd2_history(changes: DataFrame, bucket: str = "day", skip_unchanged: bool = False) -> DataFrame:
+    """Version history for every asset in a change log (V1 + V2).
+
+    ``skip_unchanged`` (off by default, like the original) makes a save
+    that repeats the live version's payload a no-op (Q4)."""
+    if skip_unchanged:
+        changes = drop_unchanged_saves(changes, bucket)
     return _scan(changes, bucket, seeded=False).drop("_seed")
 
 
-def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day") -> DataFrame:
+def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
+               skip_unchanged: bool = False) -> DataFrame:
     """Apply a batch of later changes to a stored history (V3).
 
     Each touched asset's newest stored row seeds the scan: an open live
@@ -147,7 +190,10 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day") -> Dat
         "asset_id", F.col("valid_from").alias("change_ts"), "seq",
         F.when(F.col("is_deleted"), "delete").otherwise("save").alias("op"),
         *payload, F.lit(True).alias("_seed"))
-    scan = _scan(batch.withColumn("_seed", F.lit(False)).unionByName(seeds), bucket, seeded=True)
+    log = batch.withColumn("_seed", F.lit(False)).unionByName(seeds)
+    if skip_unchanged:
+        log = drop_unchanged_saves(log, bucket)
+    scan = _scan(log, bucket, seeded=True)
     base = newest.select("asset_id", F.col("life").alias("_bl"), F.col("version").alias("_bv"))
     new = (scan.join(base, "asset_id", "left")
            .withColumn("version", F.when(F.col("life") == 0, F.col("version") + F.coalesce(F.col("_bv"), F.lit(1)) - 1)

@@ -16,11 +16,13 @@ def _log(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def fold(rows):
+def fold(rows, skip_unchanged=False):
     """The reference rules applied one change at a time."""
     out, live, life = [], {}, {}
     for a, ts, seq, op, sym, attr in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         cur = live.get(a)
+        if op == "save" and skip_unchanged and cur is not None and (cur["symbol"], cur["attr"]) == (sym, attr):
+            continue
         if op == "save":
             if cur is not None:
                 cur["valid_to"] = ts
@@ -157,3 +159,27 @@ def test_bucket_units_agree(spark):
     want = sorted(_key(r) for r in fold(rows))
     for unit in ("hour", "day", "month"):
         assert _rows(C.scd2_history(_log(spark, rows), unit)) == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(change, min_size=1, max_size=25), st.integers(1, 5))
+def test_skip_unchanged_equals_fold(spark, changes, cut_day):
+    rows = _to_rows(changes)
+    want = sorted(_key(r) for r in fold(rows, skip_unchanged=True))
+    assert _rows(C.scd2_history(_log(spark, rows), skip_unchanged=True)) == want
+    cut = T0 + dt.timedelta(days=cut_day)
+    hist = C.scd2_history(_log(spark, [r for r in rows if r[1] < cut]), skip_unchanged=True)
+    applied = C.scd2_apply(hist, _log(spark, [r for r in rows if r[1] >= cut]), skip_unchanged=True)
+    assert _rows(applied) == want
+
+
+def test_skip_unchanged_compares_maps_by_content(spark):
+    from pyspark.sql import functions as F
+    log = spark.createDataFrame(
+        [("a", T0, 1, "save", {"source": "x", "currency": "USD"}),
+         ("a", T0 + dt.timedelta(days=1), 2, "save", {"currency": "USD", "source": "x"}),
+         ("a", T0 + dt.timedelta(days=2), 3, "save", {"currency": "USD", "source": "y"})],
+        "asset_id string, change_ts timestamp_ntz, seq bigint, op string, attributes map<string,string>")
+    h = C.scd2_history(log, skip_unchanged=True).orderBy("version").collect()
+    assert [(r.version, r.seq) for r in h] == [(1, 1), (2, 3)]
+    assert C.scd2_history(log).count() == 3
