@@ -66,3 +66,14 @@ def test_forecast_view_labels(spark):
     assert got["2024-01-09"].timeline_context == "Historical Backtest Prediction"
     assert got["2024-01-12"].timeline_context == "Future Forecast"
     assert got["2024-01-12"].predicted_return_percentage == 1.23 and got["2024-01-12"].predicted_price_usd == 10.46
+
+
+def test_one_pass_metrics_equal_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    f = M.return_features(X.daily_bars(spark, SF))
+    _, pred, frames = M.train_gbt(f)
+    ours = M._metrics(pred)
+    for m in ("rmse", "mae", "r2"):
+        ref = RegressionEvaluator(labelCol=M.LABEL, predictionCol="prediction", metricName=m).evaluate(pred)
+        assert math.isclose(ours[m], ref, rel_tol=1e-9, abs_tol=1e-12)
+    M.release(frames)
