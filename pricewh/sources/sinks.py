@@ -45,7 +45,8 @@ def new_bars(incoming: DataFrame, existing: DataFrame, prune: bool = True) -> Da
     ex = existing.select(F.col("meta.asset_id").alias("asset_id"), "business_date",
                          *(["period"] if "period" in existing.columns else []))
     if prune:
-        lo, hi = inc.agg(F.min("business_date"), F.max("business_date")).first()
+        # same range as the deduplicated batch, without running the dedup
+        lo, hi = incoming.agg(F.min("business_date"), F.max("business_date")).first()
         if lo is None:
             return inc.limit(0)
         ex = ex.filter((F.col("business_date") >= ntz_lit(lo)) & (F.col("business_date") <= ntz_lit(hi)))
