@@ -1,6 +1,6 @@
 """Versioned asset catalogue (SCD type 2): V1-V3, F1-F4.
 
-The reference saves or deletes one asset at a time.  Here a whole change
+The original application saves or deletes one asset at a time.  Here a whole change
 log ``(asset_id, change_ts, seq, op, payload...)`` is turned into the
 version history in one job, with these rules:
 

@@ -121,7 +121,7 @@ def _by_pair():
 def asset_correlation(bars: DataFrame, pairs: DataFrame, n: int = 365) -> DataFrame:
     """A5 + W5: Pearson correlation of day-over-day changes of the *joined*
     series.  Undefined (too few rows, zero variance) is NULL, which falls
-    into the last band, as the reference's NaN does."""
+    into the last band, as the original's NaN does."""
     j = aligned_pairs(bars, pairs, n)
     w = _by_pair()
     j = (j.withColumn("r1", pct_change("price1", F.lag("price1").over(w)))

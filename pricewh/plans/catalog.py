@@ -2,7 +2,7 @@
 
 Each query derives its inputs from the supplied tables, applies one
 operator to all assets and returns flat, presentation-shaped rows (dates
-as ISO text, like the reference's JSON replies; integers as bigint), so
+as ISO text, like the original application's JSON replies; integers as bigint), so
 results compare value by value with the DuckDB SQL in
 ``pricewh.plans.oracle``.  Nested results (maps, structs) are flattened.
 """

@@ -1,6 +1,6 @@
 """Inputs derived from the supplied tables.
 
-The reference reads vendor APIs and a document store; here the same shapes
+The original application reads vendor APIs and a document store; here the same shapes
 are derived, with Spark, from the TPC-H-like tables so that every query's
 work grows with the data.  The matching DuckDB SQL lives in
 ``pricewh.plans.oracle``.

@@ -1,6 +1,6 @@
 """Landed vendor files -> canonical bars.
 
-The reference calls vendor APIs one symbol at a time and maps rows in a
+The original application calls vendor APIs one symbol at a time and maps rows in a
 Python loop.  Here the landed replies of many symbols are read at once and
 mapped with column expressions; bad rows are flagged, not raised.
 """

@@ -1,12 +1,11 @@
 """Reads, rollups and quant operators against pandas / numpy formulas of
-the reference tools, on hand-made rows and on derived bars."""
+the original tools, on hand-made rows and on derived bars."""
 
 import datetime as dt
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from pricewh.operators import quant as Q
 from pricewh.operators import reads as RD
@@ -168,7 +167,6 @@ def test_intraday_bars_rollup_and_coverage(spark):
 
 
 def test_aligned_pairs_with_hot_asset_on_both_sides(spark):
-    import itertools
     rows = [(a, D0 + dt.timedelta(days=d), 1.0, float(10 * i + d + 1), 1.0)
             for i, a in enumerate("abcdef") for d in range(12) if (d + i) % 5]
     flat = _flat(spark, rows)

@@ -1,4 +1,4 @@
-"""Versioned catalogue: the reference's SCD2 facts, the quirks Q3/Q4, and a
+"""Versioned catalogue: the original SCD2 facts, the quirks Q3/Q4, and a
 property test of the set operator against a sequential fold of the
 save/delete rules (also across bucket edges and incremental batches)."""
 
@@ -17,7 +17,7 @@ def _log(spark, rows):
 
 
 def fold(rows, skip_unchanged=False):
-    """The reference rules applied one change at a time."""
+    """The original rules applied one change at a time."""
     out, live, life = [], {}, {}
     for a, ts, seq, op, sym, attr in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         cur = live.get(a)

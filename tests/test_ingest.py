@@ -1,10 +1,9 @@
-"""Canonical ids, vendor parsing, routing (facts from the reference tests
+"""Canonical ids, vendor parsing, routing (facts from the original tests
 plus the quirks Q8, Q14 and zone handling)."""
 
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from pricewh.functions.columns import capitalize
 from pricewh.sources import vendor as V
@@ -27,7 +26,7 @@ def test_canonical_ids_for_the_three_classes(spark):
 
 
 def test_any_hyphen_is_crypto(spark):
-    # Q14: a share class like BRK-B is classed as crypto, as in the reference
+    # Q14: a share class like BRK-B is classed as crypto, as in the original
     r = V.canonical_assets(_sym(spark, "brk-b"), "yfinance").first()
     assert (r.asset_id, r.symbol, r.asset_class) == ("brk_b_crypto_01", "BRK-B", "crypto")
 

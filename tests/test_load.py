@@ -1,4 +1,4 @@
-"""Idempotent bar loading (S6), upsert (S7): the reference's 1-of-2 and
+"""Idempotent bar loading (S6), upsert (S7): the original 1-of-2 and
 empty-batch facts, plus in-batch duplicates and re-runs (Q1, Q2, Q18)."""
 
 import datetime as dt
