@@ -111,3 +111,28 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "table") ->
     path = path or scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def refresh_rollups(spark: SparkSession, bars_path: str, touched: DataFrame, rollup_path: str) -> None:
+    """S7 on disk: recompute the monthly rollups of the touched months and
+    replace exactly those month partitions of the rollup table (dynamic
+    partition overwrite).
+
+    ``touched`` holds ``period`` values (``yyyy-MM``).  Each touched month
+    is recomputed for *all* assets from the bar table, which makes
+    replacing the whole month partition an exact upsert keyed by
+    (asset_id, period, interval_type).  The distinct months are a
+    calendar-bounded handful (12 per year of data), so they are listed on
+    the driver and pushed as a partition filter: only those month
+    directories are scanned.  The job reads the bar table and writes the
+    rollup table, never the path it reads.
+    """
+    from pricewh.operators.rollups import monthly_rollup
+    months = [r.period for r in touched.select("period").distinct().collect() if r.period is not None]
+    if not months:
+        return
+    bars = read_bars(spark, bars_path).filter(F.col("period").isin(months))
+    r = monthly_rollup(bars.drop("period"))
+    (r.repartition("period").write.mode("overwrite")
+      .option("partitionOverwriteMode", "dynamic")
+      .partitionBy("period").parquet(rollup_path))

@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pricewh.functions.columns import PROVIDER_DEFAULT
 from pricewh.schemas import LANDED_WIDE
-from pricewh.sources.sinks import append_new_bars
+from pyspark.sql import functions as F
+
+from pricewh.sources.sinks import append_new_bars, refresh_rollups
 from pricewh.sources.vendor import ingest_wide
 
 
@@ -30,10 +32,12 @@ def landed_stream(spark: SparkSession, landed_dir: str, fmt: str = "csv") -> Dat
 
 def start_bar_ingest(spark: SparkSession, landed_dir: str, table_path: str, checkpoint: str,
                      provider: str = PROVIDER_DEFAULT, fmt: str = "csv",
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True, rollup_path: str | None = None) -> StreamingQuery:
     """Start loading new landed files into the bar table at ``table_path``.
 
     Each micro-batch gets its own ``ingest_id`` and one ``system_date``.
+    With ``rollup_path`` the monthly rollups of the months the batch
+    touched are recomputed and their partitions replaced (idempotent too).
     ``available_now`` processes what has landed and stops (scheduled
     runs); otherwise the query keeps polling.
     """
@@ -43,6 +47,9 @@ def start_bar_ingest(spark: SparkSession, landed_dir: str, table_path: str, chec
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
         bars = ingest_wide(batch, provider, f"job_stream_{batch_id:08d}", now)
         stored.append(append_new_bars(batch.sparkSession, bars, table_path))
+        if rollup_path is not None:
+            touched = bars.select(F.date_format("business_date", "yyyy-MM").alias("period"))
+            refresh_rollups(batch.sparkSession, table_path, touched, rollup_path)
 
     w = (landed_stream(spark, landed_dir, fmt).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint))

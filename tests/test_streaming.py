@@ -26,3 +26,25 @@ def test_stream_loads_new_files_once(spark, tmpdir_fresh):
     bars = read_bars(spark, table)
     assert bars.count() == 3
     assert {r.meta.asset_id for r in bars.collect()} == {"aapl_stock_01"}
+
+
+def test_stream_refreshes_touched_month_rollups(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+
+    from pricewh.operators.rollups import flatten_rollups, monthly_rollup
+    landed = os.path.join(tmpdir_fresh, "landed")
+    os.makedirs(landed)
+    table, ckpt = os.path.join(tmpdir_fresh, "bars"), os.path.join(tmpdir_fresh, "ckpt")
+    rollups = os.path.join(tmpdir_fresh, "rollups")
+    with open(os.path.join(landed, "a.csv"), "w") as f:
+        f.write(HEADER + "2024-01-02,AAPL,1,2,0.5,1.5,100\n2024-02-03,AAPL,2,3,1,2.5,200\n"
+                         "2024-01-05,MSFT,5,6,4,5.5,10\n")
+    start_bar_ingest(spark, landed, table, ckpt, rollup_path=rollups).awaitTermination(120)
+    with open(os.path.join(landed, "b.csv"), "w") as f:
+        f.write(HEADER + "2024-02-10,AAPL,3,4,2,4.5,300\n")
+    start_bar_ingest(spark, landed, table, ckpt, rollup_path=rollups).awaitTermination(120)
+    got = spark.read.parquet(rollups).select("asset_id", "interval_type", "period", "stats")
+    want = monthly_rollup(read_bars(spark, table).drop("period"))
+    assert sorted(map(tuple, flatten_rollups(got).collect())) == sorted(map(tuple, flatten_rollups(want).collect()))
+    feb = flatten_rollups(got).filter((F.col("asset_id") == "aapl_stock_01") & (F.col("period") == "2024-02")).first()
+    assert (feb["count"], feb.high, feb.low, feb.average) == (2, 4.5, 2.5, 3.5)
