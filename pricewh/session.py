@@ -38,18 +38,26 @@ def build_session(master: str | None = None, app: str = "pricewh",
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when the session has none (local tests) do we make
-    a fresh local folder.
+    file system), or the checkpoint folder already set on the context.
+    Only when neither exists (local tests) is a local folder made; it is
+    set on the SparkContext, since the core config cannot change at run
+    time.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    cur = sc._jsc.sc().getCheckpointDir()
+    d = (spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(id(sc))
+         or (cur.get() if cur.isDefined() else None))
     if not d:
-        d = tempfile.mkdtemp(prefix="pricewh-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        d = _LOCAL_FALLBACK.setdefault(id(sc), tempfile.mkdtemp(prefix="pricewh-ckpt-"))
+    if not cur.isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 

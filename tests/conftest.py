@@ -21,8 +21,8 @@ def spark():
          .config("spark.ui.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):   # tests only: no shared folder given
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pricewh-test-ckpt-"))
+    from pricewh.session import checkpoint_dir
+    checkpoint_dir(s)   # the session's shared folder, or a local one only when none is named
     yield s
 
 

@@ -150,7 +150,8 @@ def test_apply_chain_on_stored_tables(spark, tmpdir_fresh):
     # without a path the table lands under the session's checkpoint folder
     m = materialize(C.scd2_history(_log(spark, rows[:1])))
     assert m.count() == 1
-    assert spark.conf.get("spark.checkpoint.dir") in m.inputFiles()[0]
+    from pricewh.session import checkpoint_dir
+    assert checkpoint_dir(spark).replace("file:", "") in m.inputFiles()[0]
 
 
 def test_bucket_units_agree(spark):
