@@ -180,3 +180,23 @@ def test_aligned_pairs_with_hot_asset_on_both_sides(spark):
         want += [(a1, a2, d.date(), x, y) for d, x, y in zip(m.business_date, m.close_x, m.close_y)]
     assert sorted(map(tuple, got[["asset_id_1", "asset_id_2", "date", "price1", "price2"]].values.tolist())) \
         == sorted(want)
+
+
+def test_correlation_many_pairs_share_a_benchmark(spark):
+    bars = X.daily_bars(spark, SF, by="nation")
+    pairs = Q.benchmark_pairs(bars)
+    ours = {(r.asset_id_1, r.asset_id_2): r for r in Q.asset_correlation(bars, pairs, 365).collect()}
+    assert len(ours) == 24
+    p = bars.select("asset_id", "business_date", "close").toPandas()
+    bench = min(p.asset_id)
+    d1 = p[p.asset_id == bench].nlargest(365, "business_date")
+    for (a, b), r in ours.items():
+        assert a == bench
+        d2 = p[p.asset_id == b].nlargest(365, "business_date")
+        m = pd.merge(d1, d2, on="business_date").sort_values("business_date")
+        c = m["close_x"].pct_change().corr(m["close_y"].pct_change())
+        assert r.overlapping_trading_days == len(m)
+        if np.isnan(c):
+            assert r.correlation_coefficient is None
+        else:
+            assert r.correlation_coefficient == pytest.approx(round(c, 4), abs=1e-4)
