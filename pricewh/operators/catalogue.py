@@ -178,6 +178,8 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
     version as a save (its ``valid_to`` gets closed), a tombstone as an
     already effective delete.  Only the newest row per asset is reread;
     rows of untouched assets and closed rows pass through unchanged.
+    A change that is not later than its asset's newest stored change fails
+    the job (that case needs a rebuild from the full log).
     """
     payload = _payload(batch)
     touched = batch.select("asset_id").distinct()
@@ -190,6 +192,16 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
         "asset_id", F.col("valid_from").alias("change_ts"), "seq",
         F.when(F.col("is_deleted"), "delete").otherwise("save").alias("op"),
         *payload, F.lit(True).alias("_seed"))
+    # Changes must come after the asset's newest stored change; a late one
+    # would need a rebuild from the full log, so it fails the job instead
+    # of giving a wrong history.
+    last = newest.select("asset_id", F.struct(F.col("valid_from"), F.col("seq")).alias("_last"))
+    late = F.struct(F.col("change_ts"), F.col("seq")) <= F.col("_last")
+    batch = (batch.join(last, "asset_id", "left")
+             .withColumn("change_ts", F.when(late, F.raise_error(F.concat(
+                 F.lit("scd2_apply: change not later than the stored history for asset "),
+                 F.col("asset_id")))).otherwise(F.col("change_ts")).cast("timestamp_ntz"))
+             .drop("_last"))
     log = batch.withColumn("_seed", F.lit(False)).unionByName(seeds)
     if skip_unchanged:
         log = drop_unchanged_saves(log, bucket)

@@ -184,3 +184,12 @@ def test_skip_unchanged_compares_maps_by_content(spark):
     h = C.scd2_history(log, skip_unchanged=True).orderBy("version").collect()
     assert [(r.version, r.seq) for r in h] == [(1, 1), (2, 3)]
     assert C.scd2_history(log).count() == 3
+
+
+def test_apply_rejects_late_changes(spark):
+    import pytest
+    rows = _to_rows([("a", 2, 0, "save", "x"), ("a", 3, 0, "save", "y")])
+    hist = C.scd2_history(_log(spark, rows))
+    late = _to_rows([("a", 1, 0, "save", "z")])
+    with pytest.raises(Exception, match="not later than the stored history"):
+        C.scd2_apply(hist, _log(spark, late)).collect()
