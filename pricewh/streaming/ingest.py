@@ -20,10 +20,14 @@ from pricewh.schemas import LANDED_WIDE
 from pyspark.sql import functions as F
 
 from pricewh.sources.sinks import append_new_bars, refresh_rollups
-from pricewh.sources.vendor import ingest_wide
+from pricewh.sources.vendor import ingest_wide, json_to_wide
 
 
 def landed_stream(spark: SparkSession, landed_dir: str, fmt: str = "csv") -> DataFrame:
+    """Landed files as a stream: wide OHLCV (``csv``/``parquet``) or vendor
+    JSON replies (``json_replies``: JSON lines with ``symbol``, ``payload``)."""
+    if fmt == "json_replies":
+        return spark.readStream.schema("symbol string, payload string").json(landed_dir)
     r = spark.readStream.schema(LANDED_WIDE)
     if fmt == "csv":
         r = r.option("header", "true")
@@ -45,7 +49,8 @@ def start_bar_ingest(spark: SparkSession, landed_dir: str, table_path: str, chec
 
     def load(batch: DataFrame, batch_id: int) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
-        bars = ingest_wide(batch, provider, f"job_stream_{batch_id:08d}", now)
+        wide = json_to_wide(batch) if fmt == "json_replies" else batch
+        bars = ingest_wide(wide, provider, f"job_stream_{batch_id:08d}", now)
         stored.append(append_new_bars(batch.sparkSession, bars, table_path))
         if rollup_path is not None:
             touched = bars.select(F.date_format("business_date", "yyyy-MM").alias("period"))

@@ -109,3 +109,15 @@ def test_routing_list_table_and_unknown_provider(spark):
     table = spark.createDataFrame([("IBM", "Bloomberg")], "symbol string, provider string")
     with pytest.raises(Exception, match="Unknown data provider"):
         V.route_symbols(s, table).collect()
+
+
+def test_stats_with_reply_errors(spark):
+    ok = ('{"Time Series (Daily)": {"2024-01-03": {"1. open": "10", "2. high": "12", "3. low": "9", '
+          '"4. close": "11", "5. volume": "100"}}}')
+    raw = spark.createDataFrame([("IBM", ok), ("IBM", '{"Note": "x"}'), ("MSFT", '{"Note": "x"}')],
+                                "symbol string, payload string")
+    parsed = V.parse_wide(V.json_to_wide(raw))
+    bars = V.shape_bars(parsed, "alphavantage", "j", "2024-01-05 00:00:00")
+    got = {r.symbol: r for r in V.ingest_stats(parsed, bars, V.json_errors(raw)).collect()}
+    assert (got["IBM"].fetched, got["IBM"].transformed, got["IBM"].stored, got["IBM"].errors) == (1, 1, 1, 1)
+    assert (got["MSFT"].fetched, got["MSFT"].stored, got["MSFT"].errors, got["MSFT"].asset_id) == (0, 0, 1, "msft_stock_01")

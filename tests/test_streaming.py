@@ -48,3 +48,20 @@ def test_stream_refreshes_touched_month_rollups(spark, tmpdir_fresh):
     assert sorted(map(tuple, flatten_rollups(got).collect())) == sorted(map(tuple, flatten_rollups(want).collect()))
     feb = flatten_rollups(got).filter((F.col("asset_id") == "aapl_stock_01") & (F.col("period") == "2024-02")).first()
     assert (feb["count"], feb.high, feb.low, feb.average) == (2, 4.5, 2.5, 3.5)
+
+
+def test_stream_of_json_replies(spark, tmpdir_fresh):
+    import json
+    landed = os.path.join(tmpdir_fresh, "landed")
+    os.makedirs(landed)
+    table, ckpt = os.path.join(tmpdir_fresh, "bars"), os.path.join(tmpdir_fresh, "ckpt")
+    series = {"2024-01-02": {"1. open": "1", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "10"},
+              "2024-01-03": {"1. open": "2", "2. high": "3", "3. low": "1", "4. close": "2.5", "5. volume": "20"}}
+    with open(os.path.join(landed, "r.json"), "w") as f:
+        f.write(json.dumps({"symbol": "IBM", "payload": json.dumps({"Time Series (Daily)": series})}) + "\n")
+        f.write(json.dumps({"symbol": "IBM", "payload": json.dumps({"Note": "limit"})}) + "\n")
+    q = start_bar_ingest(spark, landed, table, ckpt, provider="alphavantage", fmt="json_replies")
+    q.awaitTermination(120)
+    assert sum(q.stored_counts) == 2
+    got = sorted((r.meta.asset_id, r.meta.data_source_id, r.indicators["close"]) for r in read_bars(spark, table).collect())
+    assert got == [("ibm_stock_01", "alphavantage", 1.5), ("ibm_stock_01", "alphavantage", 2.5)]
