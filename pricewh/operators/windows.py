@@ -26,10 +26,7 @@ def month_chunk(c: str) -> Column:
     return F.trunc(F.to_date(F.col(c)), "month")
 
 
-def ranked(df: DataFrame, key: str, order: str, chunk: Column | None = None) -> DataFrame:
-    """Add ``_chunk``, ``_lr`` (rank in chunk), ``_g`` (rank in key), ``_cn``
-    (rows in chunk), ``_off`` (rows of the key before the chunk) and ``_n``
-    (rows of the key).  ``order`` must be unique within a key."""
+def _ranked(df: DataFrame, key: str, order: str, chunk: Column | None):
     chunk = month_chunk(order) if chunk is None else chunk
     d = df.withColumn("_chunk", chunk)
     wc = Window.partitionBy(key, "_chunk").orderBy(order)
@@ -39,7 +36,14 @@ def ranked(df: DataFrame, key: str, order: str, chunk: Column | None = None) ->
     s = (s.withColumn("_off", F.coalesce(F.sum("_cn").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                          F.lit(0)))
           .withColumn("_n", F.sum("_cn").over(Window.partitionBy(key))))
-    return d.join(s, [key, "_chunk"]).withColumn("_g", F.col("_off") + F.col("_lr"))
+    return d.join(s, [key, "_chunk"]).withColumn("_g", F.col("_off") + F.col("_lr")), s
+
+
+def ranked(df: DataFrame, key: str, order: str, chunk: Column | None = None) -> DataFrame:
+    """Add ``_chunk``, ``_lr`` (rank in chunk), ``_g`` (rank in key), ``_cn``
+    (rows in chunk), ``_off`` (rows of the key before the chunk) and ``_n``
+    (rows of the key).  ``order`` must be unique within a key."""
+    return _ranked(df, key, order, chunk)[0]
 
 
 def with_lookback(df: DataFrame, key: str, order: str, lookback: int,
@@ -51,13 +55,13 @@ def with_lookback(df: DataFrame, key: str, order: str, lookback: int,
     """
     if lookback < 1:
         raise ValueError("lookback must be >= 1")
-    r = ranked(df, key, order, chunk)
-    cols = [c for c in r.columns]
+    r, s = _ranked(df, key, order, chunk)
+    cols = list(r.columns)
     tails = r.filter(F.col("_lr") > F.col("_cn") - lookback).drop("_chunk")
-    chunks = r.select(key, "_chunk", "_off").distinct().filter(F.col("_off") > 0)
-    need = chunks.select(key, F.col("_chunk").alias("_target"),
-                         F.explode(F.sequence(F.greatest(F.col("_off") - lookback + 1, F.lit(1)),
-                                              F.col("_off"))).alias("_g"))
+    need = (s.filter(F.col("_off") > 0)
+            .select(key, F.col("_chunk").alias("_target"),
+                    F.explode(F.sequence(F.greatest(F.col("_off") - lookback + 1, F.lit(1)),
+                                         F.col("_off"))).alias("_g")))
     halo = (tails.join(need, [key, "_g"])
             .withColumn("_chunk", F.col("_target")).drop("_target")
             .withColumn("_halo", F.lit(True)))
