@@ -21,6 +21,21 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB class inputs).  Start with
+# many shuffle partitions and let AQE coalesce them to ~256 MB each; split
+# scans at 256 MB; split skewed sort-merge partitions (5x the median and over
+# 512 MB).  spark.checkpoint.dir must name a shared file system.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def build_session(master: str | None = None, app: str = "pricewh",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
