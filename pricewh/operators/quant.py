@@ -91,22 +91,32 @@ def benchmark_pairs(bars: DataFrame, benchmark: str | None = None) -> DataFrame:
         F.lit(benchmark).alias("asset_id_1"), F.col("asset_id").alias("asset_id_2"))
 
 
-PAIR_SALTS = 16
+PARTNERS_PER_SALT = 64
+MAX_SALTS = 256
 
 
-def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int, salts: int = PAIR_SALTS) -> DataFrame:
+def _salts_for(p: DataFrame) -> int:
+    """One salt per 64 partners of the busiest second-series asset (a
+    bounded scalar from one aggregate); 1 when every asset is paired once."""
+    m = p.groupBy("asset_id_2").count().agg(F.max("count")).first()[0] or 1
+    return int(min(MAX_SALTS, max(1, -(-m // PARTNERS_PER_SALT))))
+
+
+def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int, salts: int | None = None) -> DataFrame:
     """Each pair's newest-n closes (taken per asset first) inner-joined
     on the UTC calendar day.
 
     One asset may sit in very many pairs (a benchmark), so no join is keyed
     by a bare asset id: the second series is joined on (asset, salt), with
     the salt a hash of the partner and each asset's (bounded, newest-n)
-    series copied once per salt; the first series is then joined on
+    series copied once per salt (the count follows the busiest asset's
+    number of partners unless given); the first series is then joined on
     (asset, day), which spreads even a benchmark over its days."""
     recent = (latest_n(bars.select("asset_id", "business_date", "close"), n, "asset_id", "business_date")
               .select("asset_id", F.to_date("business_date").alias("date"), "close"))
-    p = (pairs.select("asset_id_1", "asset_id_2").distinct()
-         .withColumn("_salt", F.pmod(F.xxhash64("asset_id_1"), F.lit(salts)).cast("int")))
+    p = pairs.select("asset_id_1", "asset_id_2").distinct()
+    salts = _salts_for(p) if salts is None else salts
+    p = p.withColumn("_salt", F.pmod(F.xxhash64("asset_id_1"), F.lit(salts)).cast("int"))
     r2 = recent.select(F.col("asset_id").alias("asset_id_2"), "date", F.col("close").alias("price2"),
                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     b = p.join(r2, ["asset_id_2", "_salt"]).drop("_salt")

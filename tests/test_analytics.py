@@ -200,3 +200,9 @@ def test_correlation_many_pairs_share_a_benchmark(spark):
             assert r.correlation_coefficient is None
         else:
             assert r.correlation_coefficient == pytest.approx(round(c, 4), abs=1e-4)
+
+
+def test_salt_count_follows_busiest_partner_list(spark):
+    few = Q.pairs_from_list(spark, [("a", "b"), ("c", "d")])
+    many = Q.pairs_from_list(spark, [(f"p{i}", "hot") for i in range(130)])
+    assert Q._salts_for(few) == 1 and Q._salts_for(many) == 3
