@@ -41,3 +41,13 @@ def test_scan_reads_only_needed_columns(spark):
 def test_top_n_plans_group_limit(spark):
     opt = RD.recent_bars(X.stored_bars(spark, SF), 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in opt
+
+
+def test_payload_request_window_reaches_scan(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    stored = X.stored_bars(spark, SF)
+    req = spark.createDataFrame([("automobile_stock_01", "yfinance", dt.datetime(1996, 1, 1), dt.datetime(1996, 4, 1))],
+                                "assetId string, dataSourceId string, start timestamp_ntz, end timestamp_ntz")
+    p = _plan(RD.bars_payload(stored, req))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)" in p and "LessThan(o_orderdate,1996-04-01T00:00)" in p
