@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, exact_dedup, url_filter
+from pricewh.llm import bpe, chat_format, exact_dedup, packing, url_filter
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(role) + length(text) + {_MARKS} + len(regexp_extract_all(role, '{_CONTROL}'))
                 + len(regexp_extract_all(text, '{_CONTROL}'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
