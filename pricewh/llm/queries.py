@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, exact_dedup, packing, url_filter
+from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, packing, url_filter
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,25 @@ def query(fn):
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op1_line_dedup"] = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
+                                                       '[\x20\x09-\x0D]+$', ''), '{UPPER}', '{LOWER}') AS key FROM l),
+h AS (SELECT key, min(doc_id) AS holder FROM k WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, h.holder IS NOT NULL AND k.doc_id > h.holder AS gone FROM k LEFT JOIN h USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
