@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, packing, url_filter
+from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, packing, toxicity, url_filter
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id"""
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score_documents(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                                                        "predicted")
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)
