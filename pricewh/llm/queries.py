@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, packing, toxicity, url_filter
+from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,25 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
+
+
+@query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, of=85, out_of=100)
+
+
+_WORDS = "[w FOR w IN regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+') IF w <> '']"
+ORACLE["op9_ngram_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []::VARCHAR[]
+             WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS f FROM w),
+e AS (SELECT doc_id, len(f) AS n, unnest(f) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS c
+      FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 85 * (n + m - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS t FROM s UNION SELECT r.d, u.b FROM r JOIN u ON r.t = u.a)
+SELECT s.doc_id, CAST(len(f) AS BIGINT) AS n_shingles, min(r.t) AS component_id
+FROM s JOIN r ON s.doc_id = r.d GROUP BY ALL"""
