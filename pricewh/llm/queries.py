@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter
+from pricewh.llm import bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY doc_id"""
 
 
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+ORACLE["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id < b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT vec_id AS d, vec_id AS t FROM embeddings UNION SELECT r.d, u.b FROM r JOIN u ON r.t = u.a),
+c AS (SELECT d, min(t) AS component_id FROM r GROUP BY d),
+n AS (SELECT a, count(*) AS n FROM u GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON vec_id = d LEFT JOIN n ON vec_id = a"""
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
