@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.llm import bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter
+from pricewh.llm import (
+    attention_lm, bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter)
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,8 @@ u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS d, doc_id AS t FROM s UNION SELECT r.d, u.b FROM r JOIN u ON r.t = u.a)
 SELECT s.doc_id, CAST(len(f) AS BIGINT) AS n_shingles, min(r.t) AS component_id
 FROM s JOIN r ON s.doc_id = r.d GROUP BY ALL"""
+
+
+@query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)

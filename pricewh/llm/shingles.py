@@ -36,29 +36,46 @@ def _powers(n: int) -> np.ndarray:
         return np.cumprod(p)
 
 
+class Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a text column: hash (A-Z as a-z), row, and bytes by position; nulls have none."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_string())
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+        data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
+        offsets = offsets - offsets[0]
+        self.data, self.n_rows = data, len(column)
+        self.start = self.length = self.row = np.empty(0, np.int64)
+        self.hash = np.empty(0, np.uint64)
+        inside = ~_SPACE[data]
+        if not inside.any():
+            return
+        opens, closes = inside.copy(), inside.copy()
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        filled = offsets[:-1] < offsets[1:]                  # a word never goes on in the next row
+        opens[offsets[:-1][filled]] = inside[offsets[:-1][filled]]
+        closes[offsets[1:][filled] - 1] = inside[offsets[1:][filled] - 1]
+        self.start = np.flatnonzero(opens)
+        self.length = np.flatnonzero(closes) + 1 - self.start
+        self.row = np.searchsorted(offsets, self.start, side="right") - 1
+        begin = self.start[0]
+        stretch = np.diff(np.append(self.start, len(data)))
+        place = np.arange(begin, len(data)) - np.repeat(self.start, stretch)
+        with np.errstate(over="ignore"):
+            value = _BYTE[data[begin:]] * _powers(int(stretch.max()))[place]
+            self.hash = mix(np.add.reduceat(value, self.start - begin))
+
+    def text(self, i: int) -> str:
+        a = int(self.start[i])
+        return self.data[a:a + int(self.length[i])].tobytes().lower().decode()
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and the row it is in; nulls have none."""
-    column = column.cast(pa.large_string())
-    valid, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
-    offsets = offsets - offsets[0]
-    if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    inside = ~_SPACE[data]
-    opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
-    bounds = offsets[:-1][offsets[:-1] < offsets[1:]]
-    opens[bounds] = inside[bounds]                       # a word never goes on in the next row
-    starts = np.flatnonzero(opens)
-    if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    lengths = np.diff(np.append(starts, len(data)))
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
-    with np.errstate(over="ignore"):
-        value = _BYTE[data[starts[0]:]] * _powers(int(lengths.max()))[place]
-        words = mix(np.add.reduceat(value, starts - starts[0]))
-    return words, np.searchsorted(offsets, starts, side="right") - 1
+    """Hash of each word, and the row it is in."""
+    words = Words(column)
+    return words.hash, words.row
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
