@@ -1,0 +1,208 @@
+"""Toxicity tagger, language model and the pipeline: exact parts by brute force, trained parts on held-out rows."""
+
+import itertools
+import math
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import public_tokenizers
+
+from conftest_llm import SMALL, texts_of
+from pricewh.llm import attention_lm as lm
+from pricewh.llm import toxicity as tox
+from pricewh.llm.bpe import codec
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+MID = "/root/testdata/sf0.1"
+
+
+def _model(rng):
+    return tox.Model(rng.standard_normal(1 << tox.BITS).astype(np.float32), -0.5, -0.3, rng.standard_normal((2, 2)), np.zeros(3))
+
+
+def test_marginals_equal_enumeration():
+    model = _model(np.random.default_rng(2))
+    tagger = tox.Tagger(model)
+    rows = [tagger.emissions(t) for t in ("a bb ccc dddd", "", "one two three four five six seven", "x")]
+    got = tagger.marginals(rows)
+    for e, logits in zip(rows, got):
+        mass = np.zeros((len(e), 2))
+        for tags in itertools.product((0, 1), repeat=len(e)):
+            s = sum(x for x, t in zip(e, tags) if t) + (model.start if tags and tags[0] else 0)
+            s += sum(model.step[a, b] for a, b in zip(tags, tags[1:]))
+            for i, t in enumerate(tags):
+                mass[i, t] += math.exp(s)
+        assert np.allclose(logits, np.log(mass[:, 1] / mass[:, 0]) if len(e) else [])
+
+
+def test_crf_gradient():
+    rng = np.random.default_rng(0)
+    slot, tag = rng.integers(0, 5, (4, 6, 2)), rng.integers(0, 2, (4, 6)).astype(np.int8)
+    inside = np.ones((4, 6), bool)
+    inside[1, 4:] = False
+    tag[~inside] = 0
+    theta = rng.standard_normal(11) * 0.5
+
+    def likelihood(theta):
+        total = 0.0
+        for s, t, n in zip(slot, tag, inside.sum(axis=1)):
+            def score(tags):
+                e = theta[:5][s[:n]].sum(axis=1) + theta[5]
+                return (sum(x for x, y in zip(e, tags) if y) + (theta[6] if tags[0] else 0)
+                        + sum(theta[7:].reshape(2, 2)[a, b] for a, b in zip(tags, tags[1:])))
+            total += score(tuple(t[:n])) - math.log(sum(math.exp(score(x)) for x in itertools.product((0, 1), repeat=n)))
+        return total
+
+    grad = tox._gradient(theta, slot, tag, inside)
+    for i in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5
+        assert math.isclose(grad[i], (likelihood(theta + step) - likelihood(theta - step)) / 2e-5, rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"{MID}/{t}.parquet") for t in ("documents", "labels"))
+    model = tox.fit(docs, labels)
+    scored = tox.score_documents(docs.join(labels, "doc_id", "left_semi"), model)
+    rows = scored.join(labels, "doc_id").select("doc_id", "score", "toxic", "spans", tox.held_out().alias("out")).collect()
+    assert all(r.out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    bad = [r.score for r in rows if r.out and r.toxic]
+    good = np.array([r.score for r in rows if r.out and not r.toxic])
+    assert np.mean([(good < b).mean() + (good == b).mean() / 2 for b in bad]) > 0.9
+    assert (good >= tox.REJECT).mean() < 0.02 and np.mean(np.array(bad) >= tox.REJECT) > 0.75
+    assert any(r.spans for r in rows if r.toxic)
+
+
+def test_toxicity_of_awkward_rows(spark, awkward, empty):
+    labels = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (6, None), (7, 0)], "doc_id long, toxic int")
+    model = tox.fit(awkward, labels)
+    rows = tox.score_documents(awkward, model).collect()
+    assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
+    assert tox.score_documents(empty, model).count() == 0
+    assert 0 <= tox.score_documents(awkward, tox.fit(awkward, labels.filter("false"))).first().score <= 1
+    assert tox.score_documents(awkward, model).select("row.*").columns == awkward.columns
+
+
+def test_spans_point_at_pieces():
+    model = tox.Model(np.zeros(1 << tox.BITS, np.float32), -3.0, 0.0, np.zeros((2, 2)), np.array([0.0, 1.0, 1.0]))
+    model.weight[tox.slots("scum")[0]] = 9.0
+    text = "You are  SCUM, he said:\nscum!"
+    (score,), (spans,) = tox.Tagger(model).score([text])
+    assert [text[s["start"]:s["start"] + s["length"]] for s in spans] == ["SCUM,", "scum!"]
+
+
+@pytest.fixture(scope="module")
+def network():
+    rng = np.random.default_rng(0)
+    words = ["ba", "do", "re", "mi", "fa", "sol"]
+    texts = [" ".join(words[(i + k) % 6] for k in range(n)) for i, n in enumerate(rng.integers(1, 150, 80))]
+    steps, lm.STEPS = lm.STEPS, 60
+    try:
+        return lm.train_network(texts, PATH), texts
+    finally:
+        lm.STEPS = steps
+
+
+def test_probabilities_add_up_to_one(network):
+    net, _ = network
+    ids = np.arange(len(net.cls))
+    some = np.random.default_rng(1).choice(ids, 20)
+    has_ids = np.bincount(net.cls, minlength=lm.CLASSES) > 0
+    for before in [*some, *codec(PATH).special.values()]:
+        in_class = np.bincount(net.cls, np.exp(net.log_in_class(np.full(len(ids), before), ids)), lm.CLASSES)
+        assert np.allclose(in_class[has_ids], 1)
+    batch = np.random.default_rng(2).choice(ids, (2, lm.WINDOW))
+    logits = lm._forward(net, batch)[4].astype(float)
+    p = np.exp(logits - logits.max(axis=-1, keepdims=True))
+    assert (p / p.sum(axis=-1, keepdims=True))[..., ~has_ids].max(initial=0) < 1e-6
+
+
+def test_attention_is_causal_and_helps(network):
+    net, texts = network
+    a = np.random.default_rng(3).integers(0, 1000, (1, lm.WINDOW))
+    b = a.copy()
+    b[0, 40:] = 7
+    assert np.allclose(lm._forward(net, a)[4][0, :40], lm._forward(net, b)[4][0, :40], atol=1e-5)
+    stream = lm.Stream(pa.array(texts), codec(PATH))
+    n = len(stream.ids) - len(texts)
+    assert lm.log10_scores(net, stream).sum() / n > -1.0
+
+
+def test_attention_gradient(network):
+    net, _ = network
+    rng = np.random.default_rng(4)
+    ids = rng.choice(np.flatnonzero(net.slot), (3, lm.WINDOW))
+    target, real = rng.integers(0, lm.CLASSES, ids.shape), rng.random(ids.shape) < 0.8
+    weights = {k: v.astype(np.float64) for k, v in net.p.items()}
+    own = lm.Network(net.slot, net.cls, net.group, weights, net.prior.astype(float))
+
+    def loss():
+        logits = lm._forward(own, ids)[4]
+        top = logits.max(axis=-1, keepdims=True)
+        log_p = logits - top - np.log(np.exp(logits - top).sum(axis=-1, keepdims=True))
+        return -(np.take_along_axis(log_p, target[..., None], -1)[..., 0] * real).sum() / real.sum()
+
+    grads = lm._gradients(own, ids, target, real)
+    for name, g in grads.items():
+        at = tuple(int(rng.integers(0, s)) for s in g.shape) if name != "embed" else (int(net.slot[ids[0, 0]]), 3)
+        weights[name][at] += 1e-4
+        up = loss()
+        weights[name][at] -= 2e-4
+        down = loss()
+        weights[name][at] += 1e-4
+        assert math.isclose(g[at], (up - down) / 2e-4, rel_tol=2e-2, abs_tol=2e-5), name
+
+
+def test_windows_score_each_id_once():
+    lengths = [1, 2, 63, 64, 65, 66, 112, 113, 400]
+    offset = np.concatenate([[0], np.cumsum([n + 1 for n in lengths])])
+    begin, row = lm.windows(offset)
+    for r, n in enumerate(lengths):
+        own = begin[row == r] - offset[r]
+        scored = [t for k, b in enumerate(own) for t in range(b + (lm.CONTEXT if k else 0), min(b + lm.WINDOW, n))]
+        assert scored == list(range(n))
+
+
+def test_base_scores(spark, awkward, empty):
+    rows = [(i, t or "") for i, t in texts_of(awkward)]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    words = lambda t: [*t.encode().lower().split(), b"\n"]
+    count = {}
+    for i, t in rows:
+        for w in words(t) if not held[i] else ():
+            count[w] = count.get(w, 0) + 1
+    n, v = sum(count.values()), len(count)
+    want = sorted(((i, held[i], len(words(t)), sum(count.get(w, 0) > 0 for w in words(t)), n,
+                    round(sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in words(t)), 3)) for i, t in rows), key=repr)
+    steps, lm.STEPS = lm.STEPS, 5
+    try:
+        got = lm.score_documents(awkward, PATH).collect()
+        assert lm.score_documents(empty, PATH).count() == 0
+    finally:
+        lm.STEPS = steps
+    assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got),
+                  key=repr) == want
+    assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+
+
+def test_pipeline_stages_take_effect(spark):
+    import corpus_pipeline
+    from test_dedup import _jaccard, _lines
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)
+    clean = stage["toxicity"](spark, docs, SMALL)
+    scores = {r.doc_id: r.predicted for r in
+              tox.score_documents(docs, tox.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))).collect()}
+    assert clean.columns == docs.columns
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, p in scores.items() if not p)
+    lines = stage["line_dedup"](spark, docs, SMALL)
+    assert lines.columns == docs.columns and dict(lines.dtypes) == dict(docs.dtypes)
+    texts = {i: t for i, t, _, _ in _lines(texts_of(docs))}
+    assert {r.doc_id: (r.text, r.n_chars) for r in lines.collect()} == {i: (t, len(t)) for i, t in texts.items()}
+    near = stage["ngram_join"](spark, docs, SMALL)
+    assert near.columns == docs.columns
+    assert {r.doc_id for r in near.collect()} == {i for i, _, c in _jaccard(texts_of(docs), 5, 80) if i == c}
+    pieces = stage["packing"](spark, docs, SMALL)
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
