@@ -47,6 +47,8 @@ class Scheme:
         """(signatures, row of each) of sets of distinct features; empty sets have none."""
         sizes = np.diff(offsets)
         rows = np.flatnonzero(sizes)
+        if not len(rows):
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
         found = [self._of_instance(features, offsets, rows, self.band(sizes[rows]) + up) for up in (0, 1)]
         return np.concatenate([s for s, _ in found]), np.concatenate([r for _, r in found])
 
