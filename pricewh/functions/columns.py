@@ -76,11 +76,6 @@ def price_of(indicators) -> Column:
     return F.coalesce(*[m.getItem(k) for k in PRICE_KEYS])
 
 
-def nan_to_null(c) -> Column:
-    c = col_(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def pct_change(cur, prev) -> Column:
     """cur / prev - 1; NULL (not an error) when prev is 0 or NULL."""
     return F.try_divide(col_(cur), col_(prev)) - F.lit(1.0)

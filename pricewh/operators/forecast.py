@@ -20,6 +20,7 @@ from pricewh.functions.columns import (LABEL_FUTURE, LABEL_PAST, LABEL_TODAY,
 from pricewh.operators import windows as W
 from pricewh.operators.reads import latest_n
 from pricewh.session import checkpoint_dir
+from pricewh.sources.sinks import materialize
 
 FEATURES = ["prev_close", "prev_volume", "ma_7d_close", "yesterday_trend"]
 LABEL = "target_return"
@@ -77,23 +78,22 @@ def _assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
 
-ROWS_PER_TRAIN_PARTITION = 250_000
+# Tasks of a training round: a fixed number, never derived from the data.
+# Learners seed their sampling by partition, so rows must lie in the same
+# partitions whatever the layout of the input.  Set it once for a cluster.
+TRAIN_PARTITIONS = 8
 
 
 def _persisted_split(split_df: DataFrame):
-    # Sorting inside partitions fixes the row order the learners see, so a
-    # seeded fit gives the same model whatever the upstream task order.
-    m = _assemble(split_df).sortWithinPartitions("asset_id", "bdate")
-    train = m.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    test = m.filter(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
-    # Iterative learners run one small job per tree level; size the training
-    # partitions from the row count (counting also fills the cache) so a
-    # small input is not spread over many near-empty tasks.  Coalescing is
-    # narrow: it reads the cached blocks, no shuffle.
-    n = train.count()
-    parts = max(1, -(-n // ROWS_PER_TRAIN_PARTITION))
-    fit_on = train.coalesce(parts) if parts < train.rdd.getNumPartitions() else train
-    return fit_on, test, train
+    """(training rows, test rows, the persisted frame behind both).
+
+    Each row's partition and its place there are functions of the row alone,
+    so a seeded fit gives the same model however the input is partitioned.
+    """
+    frame = (_assemble(split_df)
+             .repartition(TRAIN_PARTITIONS, F.xxhash64("asset_id", "bdate"))
+             .sortWithinPartitions("asset_id", "bdate").persist(StorageLevel.MEMORY_AND_DISK))
+    return frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "test"), frame
 
 
 def _gbt(seed: int = 42):
@@ -106,28 +106,23 @@ def _gbt(seed: int = 42):
 
 
 def train_gbt(features: DataFrame, seed: int = 42):
-    """M3-M4: fit one GBT on all assets' training rows; returns the model,
-    the scored test rows and the persisted frames still held (the test
-    rows), which the caller frees with ``release``.  The training rows are
-    persisted (memory, then disk) for the boosting rounds and freed after
-    the fit."""
+    """M3-M4: fit one GBT on all assets' training rows; returns the model and
+    the scored test rows, written as a table in the shared folder.  Forecast
+    and metrics can both be taken from one fit; nothing stays cached."""
     checkpoint_dir(features.sparkSession)
     train, test, cached = _persisted_split(chrono_split(features))
     model = _gbt(seed).fit(train)
-    cached.unpersist()         # only the scored test rows are needed from here on
-    return model, model.transform(test), (test,)
-
-
-def release(frames) -> None:
-    for f in frames:
-        f.unpersist()
+    scored = materialize(model.transform(test).drop("features"), name="gbt-scored")
+    cached.unpersist()
+    return model, scored
 
 
-def gbt_forecast(features: DataFrame, seed: int = 42) -> DataFrame:
+def gbt_forecast(features: DataFrame, seed: int = 42, scored: DataFrame | None = None) -> DataFrame:
     """M6: test-row predictions turned into prices, stored one calendar day
     after the feature date (weekends not skipped); ``feature_date`` keeps
-    the bar date the prediction was made for."""
-    _, pred, _frames = train_gbt(features, seed)
+    the bar date the prediction was made for.  ``scored`` of an earlier
+    ``train_gbt`` saves the fit."""
+    pred = train_gbt(features, seed)[1] if scored is None else scored
     return pred.select(
         "asset_id",
         F.date_add(F.col("bdate"), 1).alias("bdate"),
@@ -147,11 +142,9 @@ def _metrics(pred: DataFrame) -> dict:
     return r.asDict()
 
 
-def gbt_metrics(features: DataFrame, seed: int = 42) -> DataFrame:
+def gbt_metrics(features: DataFrame, seed: int = 42, scored: DataFrame | None = None) -> DataFrame:
     """M5: RMSE, MAE and R² of the GBT on the test rows (one row)."""
-    _, pred, frames = train_gbt(features, seed)
-    m = _metrics(pred)
-    release(frames)
+    m = _metrics(train_gbt(features, seed)[1] if scored is None else scored)
     spark = features.sparkSession
     return spark.createDataFrame([(float(m["rmse"]), float(m["mae"]), float(m["r2"]))],
                                  "rmse double, mae double, r2 double")
@@ -175,7 +168,7 @@ def model_leaderboard(features: DataFrame, seed: int = 42) -> DataFrame:
         pred = est.fit(train).transform(test)
         m = _metrics(pred)
         rows.append((name, float(m["rmse"]), float(m["r2"]), round(time.time() - t0, 2)))
-    release((cached, test))
+    cached.unpersist()
     rows.sort(key=lambda r: r[1])
     spark: SparkSession = features.sparkSession
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)],

@@ -80,48 +80,37 @@ def pairs_from_list(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFr
 
 
 def benchmark_pairs(bars: DataFrame, benchmark: str | None = None) -> DataFrame:
-    """Every asset paired with one benchmark asset (default: smallest id).
-
-    Linear in the number of assets; the benchmark id is one scalar.
-    """
+    """Every asset paired with one benchmark asset (default: smallest id, a
+    scalar subquery of the same plan).  Linear in the number of assets."""
     ids = bars.select("asset_id").distinct()
-    if benchmark is None:
-        benchmark = ids.agg(F.min("asset_id")).first()[0]
-    return ids.filter(F.col("asset_id") != benchmark).select(
-        F.lit(benchmark).alias("asset_id_1"), F.col("asset_id").alias("asset_id_2"))
-
-
-PARTNERS_PER_SALT = 64
-MAX_SALTS = 256
-
-
-def _salts_for(p: DataFrame) -> int:
-    """One salt per 64 partners of the busiest second-series asset (a
-    bounded scalar from one aggregate); 1 when every asset is paired once."""
-    m = p.groupBy("asset_id_2").count().agg(F.max("count")).first()[0] or 1
-    return int(min(MAX_SALTS, max(1, -(-m // PARTNERS_PER_SALT))))
+    one = F.lit(benchmark) if benchmark is not None else bars.agg(F.min("asset_id")).scalar()
+    return (ids.withColumn("asset_id_1", one).filter(F.col("asset_id") != F.col("asset_id_1"))
+            .select("asset_id_1", F.col("asset_id").alias("asset_id_2")))
 
 
-def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int, salts: int | None = None) -> DataFrame:
+def aligned_pairs(bars: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """Each pair's newest-n closes (taken per asset first) inner-joined
     on the UTC calendar day.
 
-    One asset may sit in very many pairs (a benchmark), so no join is keyed
-    by a bare asset id: the second series is joined on (asset, salt), with
-    the salt a hash of the partner and each asset's (bounded, newest-n)
-    series copied once per salt (the count follows the busiest asset's
-    number of partners unless given); the first series is then joined on
-    (asset, day), which spreads even a benchmark over its days."""
+    An asset's newest-n series is packed into one row (a map of at most n
+    days), so each side of the pair list needs one join that adds one row a
+    pair, and days are matched inside the row.  An asset that sits in very
+    many pairs (a benchmark) makes a skewed sort-merge join, whose pair side
+    Spark splits (``spark.sql.adaptive.skewJoin``): no count of partners is
+    needed beforehand and none is capped."""
     recent = (latest_n(bars.select("asset_id", "business_date", "close"), n, "asset_id", "business_date")
-              .select("asset_id", F.to_date("business_date").alias("date"), "close"))
-    p = pairs.select("asset_id_1", "asset_id_2").distinct()
-    salts = _salts_for(p) if salts is None else salts
-    p = p.withColumn("_salt", F.pmod(F.xxhash64("asset_id_1"), F.lit(salts)).cast("int"))
-    r2 = recent.select(F.col("asset_id").alias("asset_id_2"), "date", F.col("close").alias("price2"),
-                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    b = p.join(r2, ["asset_id_2", "_salt"]).drop("_salt")
-    r1 = recent.select(F.col("asset_id").alias("asset_id_1"), "date", F.col("close").alias("price1"))
-    return b.join(r1, ["asset_id_1", "date"]).select("asset_id_1", "asset_id_2", "date", "price1", "price2")
+              .groupBy("asset_id", F.to_date("business_date").alias("date")).agg(F.collect_list(
+                  F.struct("close")).alias("closes"))
+              .groupBy("asset_id").agg(F.map_from_entries(F.collect_list(F.struct("date", "closes"))).alias("days")))
+    side = {s: recent.select(F.col("asset_id").alias(f"asset_id_{s}"), F.col("days").alias(f"days{s}")) for s in (1, 2)}
+    both = (pairs.select("asset_id_1", "asset_id_2").distinct()
+            .join(side[2], "asset_id_2").join(side[1], "asset_id_1"))
+    return (both.select("asset_id_1", "asset_id_2", F.explode("days1").alias("date", "closes1"), "days2")
+            .withColumn("closes2", F.try_element_at("days2", "date")).filter("closes2 IS NOT NULL")
+            .select("asset_id_1", "asset_id_2", "date", F.explode("closes1").alias("c1"), "closes2")
+            .select("asset_id_1", "asset_id_2", "date", F.col("c1.close").alias("price1"),
+                    F.explode("closes2").alias("c2"))
+            .select("asset_id_1", "asset_id_2", "date", "price1", F.col("c2.close").alias("price2")))
 
 
 def _by_pair():

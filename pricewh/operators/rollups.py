@@ -13,39 +13,54 @@ from pricewh.functions.columns import MONTH_INTERVAL, price_of
 # rows are spread over partitions (floating sums do); 8 places is far below
 # the 4 places the rollup keeps.
 AVG_SCALE = 8
-
+# Prices up to this size fit the fixed-point sum; a month with a larger (or
+# infinite) price falls back to a floating average.
+FIXED_MOST = 1e22
 
 
 def monthly_rollup(stored: DataFrame) -> DataFrame:
     """Per asset and ``yyyy-MM`` of business_date: count of bars, and the
     high, low and average of the first non-null of close / price_usd /
-    yield_percent, rounded half-even to 4 places, nested in ``stats``.
+    yield_percent, rounded half-even to 4 places, nested in ``stats``.  NaN
+    prices count as none.
 
     ``count`` counts every bar, also those without any price.
     """
     price = price_of("indicators")
+    small = F.abs(F.col("price")) <= F.lit(FIXED_MOST)
     g = (stored
          .select(F.col("meta.asset_id").alias("asset_id"),
                  F.date_format("business_date", "yyyy-MM").alias("period"),
-                 price.alias("price"))
+                 F.when(~F.isnan(price), price).alias("price"))
          .groupBy("asset_id", "period")
          .agg(F.count(F.lit(1)).alias("n"),
               F.max("price").alias("hi"),
               F.min("price").alias("lo"),
               F.sum(F.when(F.col("price").isNotNull(), 1).otherwise(0)).alias("n_price"),
-              F.sum(F.round(F.col("price") * F.lit(10.0 ** AVG_SCALE)).cast("decimal(38,0)")).alias("fx")))
-    avg = (F.col("fx").cast("double") / F.col("n_price").cast("double")) / F.lit(10.0 ** AVG_SCALE)
+              F.count_if(~small).alias("n_large"),
+              F.avg("price").alias("float_avg"),
+              F.sum(F.when(small, F.round(F.col("price") * F.lit(10.0 ** AVG_SCALE)).try_cast("decimal(38,0)")))
+               .alias("fx")))
+    avg = (F.when(F.col("n_large") > 0, F.col("float_avg"))
+           .otherwise((F.col("fx").cast("double") / F.col("n_price").cast("double")) / F.lit(10.0 ** AVG_SCALE)))
+    g = g.withColumn("avg", F.when(F.col("n_price") > 0, avg))
     return g.select(
         "asset_id",
         F.lit(MONTH_INTERVAL).alias("interval_type"),
         "period",
         F.struct(F.col("n").alias("count"),
-                 F.bround("hi", 4).alias("high"),
-                 F.bround("lo", 4).alias("low"),
-                 F.bround(F.when(F.col("n_price") > 0, avg), 4).alias("average")).alias("stats"),
+                 _places("hi").alias("high"),
+                 _places("lo").alias("low"),
+                 _places("avg").alias("average")).alias("stats"),
     )
 
 
+def _places(name: str):
+    """Half-even to 4 places; a value too large to have any stays as it is."""
+    c = F.col(name)
+    return F.when(F.abs(c) <= F.lit(FIXED_MOST), F.bround(c, 4)).otherwise(c)
+
+
 def flatten_rollups(r: DataFrame, *extra: str) -> DataFrame:
     return r.select("asset_id", "interval_type", "period", *extra,
                     F.col("stats.count").alias("count"), F.col("stats.high").alias("high"),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that make plans scale: AQE re-plans joins and coalesces small
 # shuffle partitions at run time, splits skewed sort-merge partitions, and
@@ -61,27 +62,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
     file system), or the checkpoint folder already set on the context.
-    Only when neither exists (local tests) is a local folder made; it is
-    set on the SparkContext, since the core config cannot change at run
-    time.
+    Only when neither exists and the master is local (tests) is a local
+    folder made; it is set on the SparkContext, since the core config cannot
+    change at run time.  On any other master a missing setting is an error:
+    executors do not see each other's folders.
     """
     sc = spark.sparkContext
     cur = sc._jsc.sc().getCheckpointDir()
     d = (spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(id(sc))
          or (cur.get() if cur.isDefined() else None))
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {sc.master!r}")
         d = _LOCAL_FALLBACK.setdefault(id(sc), tempfile.mkdtemp(prefix="pricewh-ckpt-"))
     if not cur.isDefined():
         sc.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never localCheckpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), "tables", name)

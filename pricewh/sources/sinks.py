@@ -7,10 +7,11 @@ and asset filters skip row groups.  A job never overwrites a path it reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewh.functions.columns import ntz_lit
+from pricewh.session import scratch_path
 
 BAR_KEY = ["asset_id", "business_date"]
 ROLLUP_KEY = ["asset_id", "period", "interval_type"]
@@ -58,8 +59,10 @@ def new_bars(incoming: DataFrame, existing: DataFrame, prune: bool = True) -> Da
 
 
 def write_bars(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Write bars by month.  The rebalance hint gathers a month's rows into
+    files of the advisory size and splits a large month over several tasks."""
     (df.withColumn("period", F.date_format("business_date", "yyyy-MM"))
-       .repartition("period")
+       .hint("rebalance", "period")
        .sortWithinPartitions(F.col("meta.asset_id"), "business_date")
        .write.mode(mode).partitionBy("period").parquet(path))
 
@@ -68,30 +71,41 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a table: asked of the path's own file system, so
+    a path without a scheme means the default one, not the driver's disk.  A
+    missing path and a folder without visible entries are new tables; any
+    other failure of the file system is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
 def append_new_bars(spark: SparkSession, incoming: DataFrame, path: str) -> int:
     """Append the unseen bars of ``incoming`` to the table at ``path`` and
-    return how many were stored (counted while writing, no second pass)."""
-    import os
-    exists = os.path.exists(path) if "://" not in path else True
-    try:
-        existing = read_bars(spark, path) if exists else None
-    except Exception:  # noqa: BLE001 - empty or missing table
-        existing = None
+    return how many were stored."""
+    existing = read_bars(spark, path) if table_exists(spark, path) else None
     new = new_bars(incoming, existing) if existing is not None else dedup_bars(incoming).drop("asset_id")
-    obs = Observation("load")
-    write_bars(new.observe(obs, F.count(F.lit(1)).alias("stored")), path)
-    try:
-        return int(obs.get["stored"])
-    except Exception:  # noqa: BLE001 - AQE dropped the metrics of an empty result
-        return int(new.count())
+    batch = materialize(new, name="load-batch")     # the join runs once; its rows are counted from footers
+    n = batch.count()
+    if n:
+        write_bars(batch, path)
+    drop_table(batch)
+    return n
 
 
 def upsert(target: DataFrame, src: DataFrame, keys=ROLLUP_KEY) -> DataFrame:
     """S7 + J3: replace target rows whose key is in ``src``, insert the rest.
 
-    Source rows with a NULL key are dropped (they cannot match a key).
+    Source rows with a NULL key are dropped (they cannot match a key).  Of
+    source rows with equal keys the one whose other columns are largest, in
+    column order, is taken.
     """
-    s = src.dropna(subset=list(keys)).dropDuplicates(list(keys))
+    others = [c for c in src.columns if c not in keys]
+    s = (src.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(F.struct(*others)).alias("_s"))
+         .select(*keys, *[F.col("_s").getField(c).alias(c) for c in others]))
     return target.join(s.select(*keys), list(keys), "left_anti").unionByName(s)
 
 
@@ -106,13 +120,22 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "table") ->
     shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local
     temporary folder on a cluster."""
     import uuid
-    from pricewh.session import scratch_path
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete a table made by ``materialize`` under the shared folder."""
+    spark = df.sparkSession
+    base = scratch_path(spark, "")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if base.rstrip("/").split(":", 1)[-1].lstrip("/") in folder:
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def refresh_rollups(spark: SparkSession, bars_path: str, touched: DataFrame, rollup_path: str) -> None:
     """S7 on disk: recompute the monthly rollups of the touched months and
     replace exactly those month partitions of the rollup table (dynamic
@@ -133,6 +156,6 @@ def refresh_rollups(spark: SparkSession, bars_path: str, touched: DataFrame, rol
         return
     bars = read_bars(spark, bars_path).filter(F.col("period").isin(months))
     r = monthly_rollup(bars.drop("period"))
-    (r.repartition("period").write.mode("overwrite")
+    (r.hint("rebalance", "period").write.mode("overwrite")
       .option("partitionOverwriteMode", "dynamic")
       .partitionBy("period").parquet(rollup_path))

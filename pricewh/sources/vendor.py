@@ -15,41 +15,54 @@ from pricewh.functions.columns import (DEFAULT_CURRENCY, DESCRIPTION_PREFIX,
                                        VENDOR_FIELDS, VENDOR_SERIES_KEY, asset_class,
                                        canonical_asset_id, vendor_symbol)
 
-_OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+# Wall clock part, and zone offset behind a time of day (Z, +hh, +hhmm, +hh:mm).
+_WALL = r"^(\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)?)"
+_OFFSET = r"(Z|[+-]\d{2}(?::?\d{2})?)$"
+_STAMP = _WALL + r"(?:(?<=:\d{2}|\.\d{1,9}) ?(?:Z|[+-]\d{2}(?::?\d{2})?))?$"
 
 
 def business_ts(text) -> Column:
     """Vendor date text -> UTC ``timestamp_ntz``.
 
     Text with a zone offset is an instant and is shifted to UTC; naive text
-    is taken as UTC already.  The result does not depend on the session
-    zone: the instant is read in the session zone and converted from it.
-    Unparsable text gives NULL.
+    is taken as UTC already.  Only wall-clock values are handled, so no
+    session zone or daylight change plays a part.  Other text, zone names
+    included, gives NULL.
     """
     s = F.trim(text if isinstance(text, Column) else F.col(text))
-    inst = F.try_to_timestamp(s)
-    as_utc = F.convert_timezone(None, F.lit("UTC"), inst.cast("timestamp_ntz"))
-    return F.when(s.rlike(_OFFSET), as_utc).otherwise(inst.cast("timestamp_ntz"))
+    wall = F.regexp_extract(s, _WALL, 1).try_cast("timestamp_ntz")
+    off = F.regexp_replace(F.regexp_extract(s, _OFFSET, 1), ":", "")
+    minutes = (F.coalesce(F.substring(off, 2, 2).try_cast("int"), F.lit(0)) * 60
+               + F.coalesce(F.substring(off, 4, 2).try_cast("int"), F.lit(0)))
+    minutes = F.when(off.startswith("-"), -minutes).otherwise(minutes)
+    shifted = wall - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+    timed = s.contains(":")
+    return F.when(s.rlike(_STAMP), F.when(timed & (off != ""), shifted).otherwise(wall))
 
 
 def _num(c: Column) -> Column:
     return c.cast("string").try_cast("double")
 
 
+def _not_finite(name: str) -> Column:
+    return F.isnan(F.col(name)) | (F.abs(F.col(name)) == F.lit(float("inf")))
+
+
 def parse_wide(landed: DataFrame) -> DataFrame:
     """Typed, flagged rows of a wide OHLCV file (``Date, symbol, Open,
     Close, Volume`` as text or numbers).  ``valid`` rows have a date and
-    three numbers; NaN numbers are kept as NULL and counted in ``nan_values``."""
+    three numbers; NaN and infinite numbers are kept as NULL and counted in
+    ``nan_values``."""
     o, c, v = _num(F.col("Open")), _num(F.col("Close")), _num(F.col("Volume"))
     df = landed.select("symbol", business_ts(F.col("Date").cast("string")).alias("business_date"),
                        o.alias("open"), c.alias("close"), v.alias("volume"))
-    nan = [F.isnan(F.col(x)) for x in ("open", "close", "volume")]
+    nan = [_not_finite(x) for x in ("open", "close", "volume")]
     valid = (F.col("business_date").isNotNull() & F.col("open").isNotNull()
              & F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("symbol").isNotNull())
     nn = sum((F.coalesce(x, F.lit(False)).cast("int") for x in nan), F.lit(0))
     return df.select(
         "symbol", "business_date",
-        *[F.when(F.isnan(F.col(x)), F.lit(None).cast("double")).otherwise(F.col(x)).alias(x)
+        *[F.when(_not_finite(x), F.lit(None).cast("double")).otherwise(F.col(x)).alias(x)
           for x in ("open", "close", "volume")],
         valid.alias("valid"), nn.alias("nan_values"))
 

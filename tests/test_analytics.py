@@ -171,7 +171,7 @@ def test_aligned_pairs_with_hot_asset_on_both_sides(spark):
             for i, a in enumerate("abcdef") for d in range(12) if (d + i) % 5]
     flat = _flat(spark, rows)
     pairs = [("a", x) for x in "bcdef"] + [(x, "a") for x in "bcd"] + [("b", "c"), ("a", "b")]
-    got = Q.aligned_pairs(flat, Q.pairs_from_list(spark, pairs), 8, salts=3).toPandas()
+    got = Q.aligned_pairs(flat, Q.pairs_from_list(spark, pairs), 8).toPandas()
     p = pd.DataFrame(rows, columns=["asset_id", "business_date", "open", "close", "volume"])
     p = p.sort_values("business_date").groupby("asset_id").tail(8)
     want = []
@@ -202,7 +202,24 @@ def test_correlation_many_pairs_share_a_benchmark(spark):
             assert r.correlation_coefficient == pytest.approx(round(c, 4), abs=1e-4)
 
 
-def test_salt_count_follows_busiest_partner_list(spark):
-    few = Q.pairs_from_list(spark, [("a", "b"), ("c", "d")])
-    many = Q.pairs_from_list(spark, [(f"p{i}", "hot") for i in range(130)])
-    assert Q._salts_for(few) == 1 and Q._salts_for(many) == 3
+def test_pairs_run_no_job_while_planning(spark):
+    bars = X.daily_bars(spark, SF)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "no job may run while the plan is built")
+    df = Q.asset_correlation(bars, Q.benchmark_pairs(bars), 365)
+    assert not tracker.getJobIdsForGroup("plan-only")
+    spark.sparkContext.setJobGroup("run", "")
+    assert "date" not in [f.name for f in df.schema] and df.count() == 4
+    assert "CartesianProduct" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_and_infinite_prices_spoil_no_other_asset(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("big", D0, 1.0, 1e31, 1.0), ("big", D0 + dt.timedelta(days=1), 1.0, 3e31, 1.0),
+            ("inf", D0, 1.0, inf, 1.0), ("nan", D0, 1.0, nan, 1.0), ("nan", D0 + dt.timedelta(days=1), 1.0, 4.0, 1.0),
+            ("ok", D0, 1.0, 2.00005, 1.0)]
+    got = {r.asset_id: r.stats for r in R.monthly_rollup(X.to_stored(_flat(spark, rows))).collect()}
+    assert got["big"].high == 3e31 and got["big"].average == 2e31
+    assert got["inf"].high == inf
+    assert (got["nan"]["count"], got["nan"].average) == (2, 4.0)
+    assert got["ok"].average == round(2.00005, 4)

@@ -121,3 +121,31 @@ def test_stats_with_reply_errors(spark):
     got = {r.symbol: r for r in V.ingest_stats(parsed, bars, V.json_errors(raw)).collect()}
     assert (got["IBM"].fetched, got["IBM"].transformed, got["IBM"].stored, got["IBM"].errors) == (1, 1, 1, 1)
     assert (got["MSFT"].fetched, got["MSFT"].stored, got["MSFT"].errors, got["MSFT"].asset_id) == (0, 0, 1, "msft_stock_01")
+
+
+def test_daylight_gaps_folds_and_short_offsets_in_any_session_zone(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from pricewh.sources import vendor as V
+    want = {"2024-03-10 02:30:00": dt.datetime(2024, 3, 10, 2, 30), "2024-11-03 06:30:00Z": dt.datetime(2024, 11, 3, 6, 30),
+            "2024-11-03T01:30:00": dt.datetime(2024, 11, 3, 1, 30), "2024-05-01 00:00:00+05": dt.datetime(2024, 4, 30, 19),
+            "2024-05-01 00:00:00-0530": dt.datetime(2024, 5, 1, 5, 30), "2024-05-01 00:00:00.25+05:30":
+            dt.datetime(2024, 4, 30, 18, 30, 0, 250000), "2024-03-10": dt.datetime(2024, 3, 10),
+            "2024-05-01 00:00:00 Europe/Paris": None, "2024-05-01 00:00:00 CET": None, "n/a": None, "2024-13-01": None,
+            "2024-05-01Z": None, "": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string").select("t", V.business_ts("t").alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert {r.t: r.ts for r in df.collect()} == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_infinite_numbers_count_as_nan(spark):
+    from pricewh.sources import vendor as V
+    df = spark.createDataFrame([("2024-01-01", "X", "1", "Infinity", "-Infinity")],
+                               "Date string, symbol string, Open string, Close string, Volume string")
+    r = V.parse_wide(df).first()
+    assert r.valid and r.nan_values == 2 and r.close is None and r.volume is None and r.open == 1.0

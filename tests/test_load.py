@@ -4,6 +4,7 @@ empty-batch facts, plus in-batch duplicates and re-runs (Q1, Q2, Q18)."""
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricewh.sources import fixtures as X
@@ -89,3 +90,51 @@ def test_overwrite_replaces_result_table(spark, tmpdir_fresh):
     S.overwrite(df, path)
     S.overwrite(df.union(df.withColumn("asset_id", F.lit("b"))), path)
     assert sorted(r.asset_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_failing_read_fails_the_load_and_stores_nothing(spark, tmpdir_fresh, monkeypatch):
+    path = os.path.join(tmpdir_fresh, "bars")
+    batch = _bars(spark, [("a", D1, 1.0, 1.0, 1.0)])
+    assert S.append_new_bars(spark, batch, path) == 1
+
+    def broken(*_):
+        raise OSError("store is away")
+    with monkeypatch.context() as m:
+        m.setattr(S, "read_bars", broken)
+        with pytest.raises(OSError):
+            S.append_new_bars(spark, batch, path)
+    assert S.append_new_bars(spark, batch, path) == 0
+    assert S.read_bars(spark, path).count() == 1
+
+
+def test_existence_is_asked_of_the_file_system(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "bars")
+    assert not S.table_exists(spark, path)
+    os.makedirs(path)
+    assert not S.table_exists(spark, path)          # an empty folder is a new table
+    S.append_new_bars(spark, _bars(spark, [("a", D1, 1.0, 1.0, 1.0)]), path)
+    assert S.table_exists(spark, path) and S.table_exists(spark, "file://" + path)
+
+
+def test_one_month_is_written_by_several_tasks(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "bars")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        rows = spark.range(60_000).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("asset_id"),
+                                          F.lit(D1).cast("timestamp_ntz").alias("business_date"),
+                                          *[F.rand(k).alias(c) for k, c in enumerate(("open", "close", "volume"))])
+        S.write_bars(X.to_stored(rows, "yfinance", "j", "2026-01-01 00:00:00"), path)
+    finally:
+        spark.conf.set(key, before)
+    folder = os.path.join(path, "period=2026-05")
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
+    assert S.read_bars(spark, path).count() == 60_000
+
+
+def test_upsert_takes_one_stated_row_of_equal_keys(spark):
+    kind = "asset_id string, period string, interval_type string, v int, w string"
+    t = spark.createDataFrame([("a", "2024-01", "1_month", 1, "x")], kind)
+    s = spark.createDataFrame([("a", "2024-01", "1_month", v, w) for v, w in ((5, "z"), (9, "a"), (9, "b"), (7, "c"))], kind)
+    assert [tuple(r) for r in S.upsert(t, s).collect()] == [("a", "2024-01", "1_month", 9, "b")]

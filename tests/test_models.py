@@ -47,6 +47,22 @@ def test_gbt_forecast_and_metrics(spark):
     assert all(math.isfinite(x) for x in (m.rmse, m.mae, m.r2))
 
 
+def test_one_fit_serves_forecast_and_metrics_and_nothing_stays_cached(spark):
+    f = M.return_features(X.daily_bars(spark, SF))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    _, scored = M.train_gbt(f)
+    assert M.gbt_forecast(f, scored=scored).count() == scored.count() and M.gbt_metrics(f, scored=scored).count() == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_models_do_not_depend_on_the_input_layout(spark):
+    f = M.return_features(X.daily_bars(spark, SF))
+    boards = [{r.model: (r.rmse, r.r2) for r in M.model_leaderboard(f.repartition(n, "bdate")).collect()} for n in (1, 4, 8)]
+    for other in boards[1:]:
+        for model, (rmse, r2) in boards[0].items():
+            assert math.isclose(other[model][0], rmse, rel_tol=1e-9) and math.isclose(other[model][1], r2, rel_tol=1e-9)
+
+
 def test_leaderboard_orders_by_rmse(spark):
     lb = M.model_leaderboard(M.return_features(X.daily_bars(spark, SF))).collect()
     assert [r.model for r in lb] and len(lb) == 3
@@ -71,9 +87,8 @@ def test_forecast_view_labels(spark):
 def test_one_pass_metrics_equal_evaluator(spark):
     from pyspark.ml.evaluation import RegressionEvaluator
     f = M.return_features(X.daily_bars(spark, SF))
-    _, pred, frames = M.train_gbt(f)
+    _, pred = M.train_gbt(f)
     ours = M._metrics(pred)
     for m in ("rmse", "mae", "r2"):
         ref = RegressionEvaluator(labelCol=M.LABEL, predictionCol="prediction", metricName=m).evaluate(pred)
         assert math.isclose(ours[m], ref, rel_tol=1e-9, abs_tol=1e-12)
-    M.release(frames)
