@@ -30,13 +30,10 @@ def latest_n(df: DataFrame, n: int, key: str | Column, order: str, name: str = "
 
 
 def recent_bars(stored: DataFrame, n: int = 30) -> DataFrame:
-    """T1 + P11: newest n bars per asset, ISO date, indicators, flags."""
+    """T1 + P11: newest n bars per asset, ISO date, the whole indicator map, flags."""
     t = latest_n(stored, n, F.col("meta.asset_id"), "business_date")
-    m = F.col("indicators")
     return t.select(F.col("meta.asset_id").alias("asset_id"), "rank",
-                    iso_datetime("business_date").alias("business_date"),
-                    m.getItem("open").alias("open"), m.getItem("close").alias("close"),
-                    m.getItem("volume").alias("volume"),
+                    iso_datetime("business_date").alias("business_date"), "indicators",
                     F.coalesce(F.col("quality_flags"), F.lit(0)).alias("quality_flags"))
 
 
@@ -71,14 +68,17 @@ def bars_in_range(stored: DataFrame, start, end, asset_ids=None, source: str | N
     return out
 
 
-def bars_payload(stored: DataFrame, requests: DataFrame) -> DataFrame:
+def bars_payload(stored: DataFrame, requests: DataFrame, include_attributes: bool = True) -> DataFrame:
     """one row per record of each request, shaped like the API reply.
 
     ``requests`` holds ``assetId, dataSourceId, start, end`` (timestamps).
-    ``attributes`` lists the keys of the newest record's indicators, or the
-    default list when the request found nothing (one row with NULL fields).
-    Records are joined on (asset, source) with a range condition; the
-    newest record per request comes from a partial ``max_by`` aggregate.
+    ``values`` is the record's whole indicator map (empty where it has
+    none).  ``attributes`` (an array; left out without ``include_attributes``)
+    lists the keys of the newest record's indicators, or the default list
+    when the request found nothing (one row with NULL fields).
+    A request is joined once for each month it covers, on (asset, source,
+    month), so a short request meets only bars of its months; the newest
+    record per request comes from a partial ``max_by`` aggregate.
     """
     req = requests.select("assetId", F.col("dataSourceId").alias("datasourceId"), "start", "end")
     # The requests' overall window (two scalars) is pushed into the bar scan,
@@ -89,23 +89,24 @@ def bars_payload(stored: DataFrame, requests: DataFrame) -> DataFrame:
         b = b.filter((F.col("business_date") >= ntz_lit(lo)) & (F.col("business_date") < ntz_lit(hi)))
     b = b.select(F.col("meta.asset_id").alias("assetId"),
                  F.col("meta.data_source_id").alias("datasourceId"),
-                 "business_date", "indicators")
-    rec = (req.join(b, ["assetId", "datasourceId"])
+                 "business_date", F.coalesce("indicators", F.expr("cast(map() as map<string,double>)")).alias("indicators"),
+                 F.trunc(F.to_date("business_date"), "month").alias("_month"))
+    last = F.to_date(F.col("end") - F.expr("interval 1 microsecond"))
+    by_month = req.filter(F.col("start") < F.col("end")).withColumn("_month", F.explode(F.sequence(
+        F.trunc(F.to_date("start"), "month"), F.trunc(last, "month"), F.expr("interval 1 month"))))
+    rec = (by_month.join(b, ["assetId", "datasourceId", "_month"]).drop("_month")
            .filter((F.col("business_date") >= F.col("start")) & (F.col("business_date") < F.col("end"))))
     keys = ["assetId", "datasourceId", "start", "end"]
     attrs = (rec.groupBy(*keys)
-             .agg(F.array_join(F.map_keys(F.max_by("indicators", "business_date")), ",").alias("attributes")))
+             .agg(F.map_keys(F.max_by("indicators", "business_date")).alias("attributes")))
     empty = (req.join(attrs, keys, "left_anti")
              .select(*keys, F.lit(None).cast("timestamp_ntz").alias("business_date"),
                      F.lit(None).cast("map<string,double>").alias("indicators"),
-                     F.lit(",".join(DEFAULT_ATTRIBUTES)).alias("attributes")))
+                     F.array(*[F.lit(a) for a in DEFAULT_ATTRIBUTES]).alias("attributes")))
     full = rec.join(attrs, keys).select(*keys, "business_date", "indicators", "attributes")
     out = full.unionByName(empty)
-    m = F.col("indicators")
-    return out.select("assetId", "datasourceId",
-                      iso_date("business_date").alias("businessDate"),
-                      m.getItem("open").alias("open"), m.getItem("close").alias("close"),
-                      m.getItem("volume").alias("volume"), "attributes")
+    return out.select("assetId", "datasourceId", iso_date("business_date").alias("businessDate"),
+                      F.col("indicators").alias("values"), *(["attributes"] if include_attributes else []))
 
 
 def price_series(rollups: DataFrame, n: int = 6) -> DataFrame:

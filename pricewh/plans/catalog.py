@@ -35,6 +35,7 @@ LOAD_BATCH_FROM = "1999-01-01"          # incoming batch starts here (overlap)
 REPLAY_MONTH = "1999-07"                # this month arrives twice in the batch
 REPLAY_INGEST_ID = "job_etl_replay"
 REPLAY_SYSTEM_DATE = "2026-01-02 00:00:00"
+STALE_COUNT = 1000                      # added to the counts of the stored rollups
 SCD2_SPLIT = "1998-01-01"               # history before, batch from here
 RANGE_START, RANGE_END = "1996-01-01", "1997-01-01"
 PAYLOAD_START, PAYLOAD_END = "1996-01-01", "1996-04-01"
@@ -131,7 +132,9 @@ def q_load_new_bars(spark, sf):
 @query("upsert_rollups")
 def q_upsert_rollups(spark, sf):
     stored = X.stored_bars(spark, sf)
+    # a stale target: its counts are off, so rows that are not replaced show
     target = R.monthly_rollup(_before(stored, LOAD_EXISTING_BEFORE))
+    target = target.withColumn("stats", F.col("stats").withField("count", F.col("stats.count") + STALE_COUNT))
     src = R.monthly_rollup(_from(stored, LOAD_BATCH_FROM))
     return R.flatten_rollups(S.upsert(target, src))
 
@@ -140,12 +143,24 @@ def q_upsert_rollups(spark, sf):
 
 @query("recent_bars")
 def q_recent_bars(spark, sf):
-    return RD.recent_bars(X.stored_bars(spark, sf), 30)
+    r = RD.recent_bars(_mixed_prices(X.stored_bars(spark, sf, "all")), 30)
+    return r.select("asset_id", "rank", "business_date", "quality_flags",
+                    F.explode_outer("indicators").alias("indicator", "value"))
+
+
+def _mixed_prices(stored):
+    """Some bars with other indicators, and some without a map."""
+    day, m = F.dayofmonth("business_date"), F.col("indicators")
+    return stored.withColumn(
+        "indicators",
+        F.when(day == 7, F.create_map(F.lit("price_usd"), m["close"], F.lit("high"), m["open"]))
+         .when(day == 8, F.create_map(F.lit("yield_percent"), m["close"]))
+         .when(day != 9, m))
 
 
 @query("recent_rollups")
 def q_recent_rollups(spark, sf):
-    r = RD.recent_rollups(R.monthly_rollup(X.stored_bars(spark, sf)), 12)
+    r = RD.recent_rollups(R.monthly_rollup(X.stored_bars(spark, sf, "all")), 12)
     return R.flatten_rollups(r, "rank")
 
 
@@ -157,13 +172,15 @@ def q_bars_in_range(spark, sf):
 
 @query("bars_payload")
 def q_bars_payload(spark, sf):
-    stored = X.stored_bars(spark, sf)
+    stored = _mixed_prices(X.stored_bars(spark, sf, "all"))
     ids = stored.select(F.col("meta.asset_id").alias("assetId")).distinct()
     s, e = (F.lit(x).cast("timestamp_ntz") for x in (PAYLOAD_START, PAYLOAD_END))
     req = (ids.select("assetId", F.lit(PROVIDER_DEFAULT).alias("dataSourceId"), s.alias("start"), e.alias("end"))
            .unionByName(ids.select("assetId", F.lit(PROVIDER_ALT).alias("dataSourceId"),
                                    s.alias("start"), e.alias("end"))))
-    return RD.bars_payload(stored, req)
+    p = RD.bars_payload(stored, req)
+    return p.select("assetId", "datasourceId", "businessDate", F.array_join("attributes", ",").alias("attributes"),
+                    F.explode_outer("values").alias("indicator", "value"))
 
 
 # -- catalogue ------------------------------------------------------------------
@@ -226,69 +243,69 @@ def q_monthly_rollup(spark, sf):
 
 @query("yearly_counts")
 def q_yearly_counts(spark, sf):
-    return R.yearly_counts(B.flatten_bars(X.stored_bars(spark, sf)))
+    return R.yearly_counts(B.flatten_bars(X.stored_bars(spark, sf, "all")))
 
 
 @query("coverage_report")
 def q_coverage_report(spark, sf):
-    return R.coverage_report(X.daily_bars(spark, sf))
+    return R.coverage_report(X.daily_bars(spark, sf, "all"))
 
 
 # -- quant and chart series -----------------------------------------------------------
 
 @query("daily_returns")
 def q_daily_returns(spark, sf):
-    return Q.daily_returns(X.daily_bars(spark, sf), 365).withColumn("business_date", iso_date("business_date"))
+    return Q.daily_returns(X.daily_bars(spark, sf, "all"), 365).withColumn("business_date", iso_date("business_date"))
 
 
 @query("rsi_series")
 def q_rsi_series(spark, sf):
-    r = Q.rsi_series(X.daily_bars(spark, sf), 14)
+    r = Q.rsi_series(X.daily_bars(spark, sf, "all"), 14)
     return r.select("asset_id", iso_date("business_date").alias("business_date"), "close",
                     F.round("rsi", 6).alias("rsi"), "market_condition")
 
 
 @query("rsi_latest")
 def q_rsi_latest(spark, sf):
-    return Q.rsi_latest(X.daily_bars(spark, sf), 14)
+    return Q.rsi_latest(X.daily_bars(spark, sf, "all"), 14)
 
 
 @query("asset_correlation")
 def q_asset_correlation(spark, sf):
-    b = X.daily_bars(spark, sf)
+    b = X.daily_bars(spark, sf, "all")
     return Q.asset_correlation(b, Q.benchmark_pairs(b), 365)
 
 
 @query("pair_growth")
 def q_pair_growth(spark, sf):
-    b = X.daily_bars(spark, sf)
+    b = X.daily_bars(spark, sf, "all")
     return Q.pair_growth(b, Q.benchmark_pairs(b), 90)
 
 
 @query("return_histogram")
 def q_return_histogram(spark, sf):
-    return Q.return_histogram(X.daily_bars(spark, sf), 365)
+    return Q.return_histogram(X.daily_bars(spark, sf, "all"), 365)
 
 
 @query("price_series")
 def q_price_series(spark, sf):
-    return RD.price_series(R.monthly_rollup(X.stored_bars(spark, sf)), 6)
+    return RD.price_series(R.monthly_rollup(X.stored_bars(spark, sf, "all")), 6)
 
 
 @query("volume_series")
 def q_volume_series(spark, sf):
-    return RD.volume_series(X.stored_bars(spark, sf), 60)
+    return RD.volume_series(X.stored_bars(spark, sf, "all"), 60)
 
 
 # -- features, models, forecasts ------------------------------------------------------
 
-def _features(spark, sf):
-    return M.return_features(X.daily_bars(spark, sf))
+def _features(spark, sf, by="segment"):
+    return M.return_features(X.daily_bars(spark, sf, by))
 
 
 @query("return_features")
 def q_return_features(spark, sf):
-    f = _features(spark, sf)
+    f = _features(spark, sf, "all")
     return f.select("asset_id", iso_date("bdate").alias("bdate"), "target_open", "close", "volume",
                     "prev_open", "prev_close", "prev_volume", F.round("ma_7d_close", 6).alias("ma_7d_close"),
                     "yesterday_trend", "target_return")
@@ -296,13 +313,13 @@ def q_return_features(spark, sf):
 
 @query("chrono_split")
 def q_chrono_split(spark, sf):
-    s = M.chrono_split(_features(spark, sf))
+    s = M.chrono_split(_features(spark, sf, "all"))
     return s.select("asset_id", iso_date("bdate").alias("bdate"), "train_rank", "split")
 
 
 @query("chrono_split_rows")
 def q_chrono_split_rows(spark, sf):
-    s = M.chrono_split_rows(_features(spark, sf))
+    s = M.chrono_split_rows(_features(spark, sf, "all"))
     return s.select("asset_id", iso_date("bdate").alias("bdate"), "row_num", "train_size", "split")
 
 

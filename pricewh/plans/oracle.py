@@ -22,6 +22,27 @@ bars AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
   GROUP BY 1, 2)"""
 
+BARS_ALL = f"""
+bars AS (
+  SELECT asset_id, business_date, min_by(o_totalprice, o_orderkey) AS open, max_by(o_totalprice, o_orderkey) AS close,
+         CAST(count(*) AS DOUBLE) AS volume
+  FROM (SELECT {CANON.format(s='c_mktsegment')} AS asset_id, o_orderdate AS business_date, o_totalprice, o_orderkey
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        UNION ALL
+        SELECT 'c' || CAST(o_custkey AS VARCHAR) || '_stock_01', o_orderdate, o_totalprice, o_orderkey FROM orders)
+  GROUP BY 1, 2)"""
+
+# Bars as (key, value) rows: day 7 holds other keys, day 8 one, day 9 none.
+INDICATORS = """
+ind AS (
+  SELECT asset_id, business_date, 'open' AS indicator, open AS value, 1 AS pos FROM bars WHERE day(business_date) NOT IN (7, 8, 9)
+  UNION ALL SELECT asset_id, business_date, 'close', close, 2 FROM bars WHERE day(business_date) NOT IN (7, 8, 9)
+  UNION ALL SELECT asset_id, business_date, 'volume', volume, 3 FROM bars WHERE day(business_date) NOT IN (7, 8, 9)
+  UNION ALL SELECT asset_id, business_date, 'price_usd', close, 1 FROM bars WHERE day(business_date) = 7
+  UNION ALL SELECT asset_id, business_date, 'high', open, 2 FROM bars WHERE day(business_date) = 7
+  UNION ALL SELECT asset_id, business_date, 'yield_percent', close, 1 FROM bars WHERE day(business_date) = 8
+  UNION ALL SELECT asset_id, business_date, NULL, NULL, 1 FROM bars WHERE day(business_date) = 9)"""
+
 SEGDAYS = """
 segdays AS (
   SELECT c_mktsegment AS segment, o_orderdate AS day,
@@ -211,21 +232,27 @@ SELECT {FLAT.format(src='yfinance', date=ISO_D.format(c='business_date'),
                            "ELSE 'job_etl_fixture' END", flags=0)}
 FROM bars WHERE business_date >= TIMESTAMP '1999-07-01'"""
 
-ORACLE["upsert_rollups"] = f"""
+ORACLE["monthly_rollup"] = f"""
 WITH {BARS}, {ROLLUP}
 SELECT * FROM rollup"""
 
-ORACLE["monthly_rollup"] = ORACLE["upsert_rollups"]
+# months from 1999-01 come from the source, earlier ones keep the stale target
+ORACLE["upsert_rollups"] = f"""
+WITH {BARS}, {ROLLUP}
+SELECT asset_id, interval_type, period, CASE WHEN period < '1999-01' THEN count + 1000 ELSE count END AS count,
+       high, low, average
+FROM rollup"""
 
 ORACLE["recent_bars"] = f"""
-WITH {BARS}
-SELECT asset_id, rank, {ISO_DT.format(c='business_date')} AS business_date, open, close, volume,
-       CAST(0 AS BIGINT) AS quality_flags
+WITH {BARS_ALL}, {INDICATORS}
+SELECT asset_id, rank, {ISO_DT.format(c='business_date')} AS business_date, CAST(0 AS BIGINT) AS quality_flags,
+       indicator, value
 FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY business_date DESC) AS rank FROM bars)
+JOIN ind USING (asset_id, business_date)
 WHERE rank <= 30"""
 
 ORACLE["recent_rollups"] = f"""
-WITH {BARS}, {ROLLUP}
+WITH {BARS_ALL}, {ROLLUP}
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY period DESC) AS rank FROM rollup)
 WHERE rank <= 12"""
 
@@ -235,16 +262,19 @@ SELECT {FLAT.format(src='yfinance', date=ISO_D.format(c='business_date'), ingest
 FROM bars WHERE business_date >= TIMESTAMP '1996-01-01' AND business_date < TIMESTAMP '1997-01-01'"""
 
 ORACLE["bars_payload"] = f"""
-WITH {BARS},
+WITH {BARS_ALL}, {INDICATORS},
 req AS (SELECT DISTINCT asset_id AS assetId, v.src AS datasourceId
         FROM bars, (VALUES ('yfinance'), ('alphavantage')) v(src)),
 rec AS (
-  SELECT asset_id AS assetId, 'yfinance' AS datasourceId, {ISO_D.format(c='business_date')} AS businessDate,
-         open, close, volume, 'open,close,volume' AS attributes
-  FROM bars WHERE business_date >= TIMESTAMP '1996-01-01' AND business_date < TIMESTAMP '1996-04-01')
-SELECT * FROM rec
+  SELECT asset_id AS assetId, 'yfinance' AS datasourceId, business_date, indicator, value, pos
+  FROM ind WHERE business_date >= TIMESTAMP '1996-01-01' AND business_date < TIMESTAMP '1996-04-01'),
+att AS (SELECT assetId, coalesce(string_agg(indicator, ',' ORDER BY pos), '') AS attributes
+        FROM rec JOIN (SELECT assetId, max(business_date) AS business_date FROM rec GROUP BY 1) USING (assetId, business_date)
+        GROUP BY 1)
+SELECT assetId, datasourceId, {ISO_D.format(c='business_date')} AS businessDate, attributes, indicator, value
+FROM rec JOIN att USING (assetId)
 UNION ALL
-SELECT assetId, datasourceId, NULL, NULL, NULL, NULL, 'open,high,low,close,volume'
+SELECT assetId, datasourceId, NULL, 'open,high,low,close,volume', NULL, NULL
 FROM req WHERE NOT EXISTS (SELECT 1 FROM rec WHERE rec.assetId = req.assetId AND rec.datasourceId = req.datasourceId)"""
 
 ORACLE["scd2_history"] = f"""
@@ -272,12 +302,12 @@ SELECT DISTINCT source AS dataSourceId,
 FROM hist WHERE source IN (SELECT source FROM live)"""
 
 ORACLE["yearly_counts"] = f"""
-WITH {BARS}
+WITH {BARS_ALL}
 SELECT asset_id, CAST(year(business_date) AS BIGINT) AS business_date_year, count(*) AS cnt
 FROM bars GROUP BY 1, 2"""
 
 ORACLE["coverage_report"] = f"""
-WITH {BARS}
+WITH {BARS_ALL}
 SELECT asset_id, strftime(min(business_date), '%Y-%m-%d') AS oldest_date,
        strftime(max(business_date), '%Y-%m-%d') AS newest_date,
        count(*) AS total_trading_days_stored,
@@ -286,17 +316,17 @@ SELECT asset_id, strftime(min(business_date), '%Y-%m-%d') AS oldest_date,
 FROM bars GROUP BY 1"""
 
 ORACLE["daily_returns"] = f"""
-WITH {BARS}, {RETURNS}
+WITH {BARS_ALL}, {RETURNS}
 SELECT asset_id, {ISO_D.format(c='business_date')} AS business_date, close, daily_return FROM returns"""
 
 ORACLE["rsi_series"] = f"""
-WITH {BARS}, {RSI.format(src='bars')}
+WITH {BARS_ALL}, {RSI.format(src='bars')}
 SELECT asset_id, {ISO_D.format(c='business_date')} AS business_date, close, round(rsi, 6) AS rsi,
        {RSI_LABEL} AS market_condition
 FROM rsi WHERE k >= 14"""
 
 ORACLE["rsi_latest"] = f"""
-WITH {BARS},
+WITH {BARS_ALL},
 last42 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY business_date DESC) AS rk,
                                   count(*) OVER (PARTITION BY asset_id) AS n FROM bars) WHERE rk <= 42),
 {RSI.format(src='last42')}
@@ -304,7 +334,7 @@ SELECT asset_id, round(rsi, 2) AS current_rsi, {RSI_LABEL} AS market_condition
 FROM rsi WHERE rk = 1 AND least(n, 42) >= 15"""
 
 ORACLE["asset_correlation"] = f"""
-WITH {BARS}, {RECENT.format(n=365)},
+WITH {BARS_ALL}, {RECENT.format(n=365)},
 r AS (SELECT *, price1 / NULLIF(lag(price1) OVER w, 0) - 1 AS r1, price2 / NULLIF(lag(price2) OVER w, 0) - 1 AS r2
       FROM joined WINDOW w AS (PARTITION BY asset_id_1, asset_id_2 ORDER BY date)),
 g AS (SELECT asset_id_1, asset_id_2, count(*) AS overlapping_trading_days,
@@ -320,7 +350,7 @@ SELECT asset_id_1, asset_id_2, overlapping_trading_days, round(corr, 4) AS corre
 FROM c"""
 
 ORACLE["pair_growth"] = f"""
-WITH {BARS}, {RECENT.format(n=90)}
+WITH {BARS_ALL}, {RECENT.format(n=90)}
 SELECT asset_id_1, asset_id_2, {ISO_D.format(c='date')} AS date, price1, price2,
        (price1 / NULLIF(first_value(price1) OVER w, 0) - 1) * 100 AS growth1,
        (price2 / NULLIF(first_value(price2) OVER w, 0) - 1) * 100 AS growth2
@@ -329,7 +359,7 @@ FROM joined WINDOW w AS (PARTITION BY asset_id_1, asset_id_2 ORDER BY date
 
 _EDGE = "(CASE WHEN {i} >= 50 THEN hi ELSE CAST({i} AS DOUBLE) * step + lo END)"
 ORACLE["return_histogram"] = f"""
-WITH {BARS}, {RETURNS},
+WITH {BARS_ALL}, {RETURNS},
 st AS (SELECT asset_id, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo,
                         CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi
        FROM (SELECT asset_id, min(daily_return) AS mn, max(daily_return) AS mx FROM returns GROUP BY 1)),
@@ -346,13 +376,13 @@ SELECT g.asset_id, g.bin, {_EDGE.format(i='g.bin')} AS bin_low, {_EDGE.format(i=
 FROM grid g LEFT JOIN counts c ON c.asset_id = g.asset_id AND c.bin = g.bin"""
 
 ORACLE["price_series"] = f"""
-WITH {BARS}, {ROLLUP},
+WITH {BARS_ALL}, {ROLLUP},
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY period DESC) AS rk FROM rollup)
         WHERE rk <= 6 AND period IS NOT NULL)
 SELECT asset_id, period, average, row_number() OVER (PARTITION BY asset_id ORDER BY period) AS pos FROM top"""
 
 ORACLE["volume_series"] = f"""
-WITH {BARS},
+WITH {BARS_ALL},
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY business_date DESC) AS rk
                        FROM bars) WHERE rk <= 60)
 SELECT asset_id, {ISO_D.format(c='business_date')} AS business_date, close, volume,
@@ -360,19 +390,19 @@ SELECT asset_id, {ISO_D.format(c='business_date')} AS business_date, close, volu
 FROM top"""
 
 ORACLE["return_features"] = f"""
-WITH {BARS}, {FEATURES}
+WITH {BARS_ALL}, {FEATURES}
 SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, target_open, close, volume, prev_open, prev_close,
        prev_volume, round(ma_7d_close, 6) AS ma_7d_close, yesterday_trend, target_return
 FROM feat"""
 
 ORACLE["chrono_split"] = f"""
-WITH {BARS}, {FEATURES}
+WITH {BARS_ALL}, {FEATURES}
 SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, train_rank,
        CASE WHEN train_rank <= 0.8 THEN 'train' ELSE 'test' END AS split
 FROM (SELECT *, percent_rank() OVER (PARTITION BY asset_id ORDER BY bdate) AS train_rank FROM feat)"""
 
 ORACLE["chrono_split_rows"] = f"""
-WITH {BARS}, {FEATURES},
+WITH {BARS_ALL}, {FEATURES},
 s AS (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY bdate) AS row_num,
              CAST(floor(count(*) OVER (PARTITION BY asset_id) * 0.8) AS BIGINT) AS train_size FROM feat)
 SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, row_num, train_size,
@@ -380,7 +410,7 @@ SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, row_num, train_size,
 FROM s"""
 
 ORACLE["forecast_view"] = f"""
-WITH {BARS},
+WITH {BARS_ALL},
 p AS (SELECT asset_id, CAST(business_date AS DATE) + 1 AS bdate, open AS target_open,
              close AS predicted_price_usd, (close - open) / NULLIF(open, 0) AS prediction FROM bars),
 t AS (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY bdate DESC) AS rank FROM p)

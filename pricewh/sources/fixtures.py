@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewh.functions.columns import (DEFAULT_CURRENCY, PROVIDER_ALT,
+from pricewh.functions.columns import (DEFAULT_CURRENCY, DESCRIPTION_PREFIX, PROVIDER_ALT,
                                        PROVIDER_DEFAULT, VENDOR_SERIES_KEY,
                                        canonical_asset_id, trunc_hour)
 from pricewh.sources.tables import table
@@ -21,7 +21,9 @@ FIXTURE_SYSTEM_DATE = "2026-01-01 00:00:00"
 
 
 def daily_bars(spark: SparkSession, sf_dir: str, by: str = "segment") -> DataFrame:
-    """Flat daily bars: one asset per market segment (or nation).
+    """Flat daily bars: one asset per market segment, nation or customer, or
+    (``all``) per customer and per segment: assets grow with the data, and
+    the segments are hot ones among them.
 
     open/close are the first/last order price of the day by order key and
     volume the number of orders.  ``min_by``/``max_by`` are partial
@@ -35,9 +37,17 @@ def daily_bars(spark: SparkSession, sf_dir: str, by: str = "segment") -> DataFra
     elif by == "nation":
         c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
         sym = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
+    elif by == "customer":
+        return _day_bars(o, F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
+    elif by == "all":
+        return daily_bars(spark, sf_dir).unionByName(daily_bars(spark, sf_dir, "customer"))
     else:
         raise ValueError(f"unknown asset key {by!r}")
-    return (o.join(c, o.o_custkey == c.c_custkey)
+    return _day_bars(o.join(c, o.o_custkey == c.c_custkey), sym)
+
+
+def _day_bars(orders: DataFrame, sym: Column) -> DataFrame:
+    return (orders
             .groupBy(canonical_asset_id(sym).alias("asset_id"),
                      F.col("o_orderdate").alias("business_date"))
             .agg(F.min_by("o_totalprice", "o_orderkey").alias("open"),
@@ -95,7 +105,7 @@ def asset_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit("save")).alias("op"),
         sym.alias("symbol"),
         F.lit("stock").alias("asset_class"),
-        F.concat(F.lit("Daily market data for "), sym).alias("description"),
+        F.concat(F.lit(DESCRIPTION_PREFIX), sym).alias("description"),
         F.create_map(F.lit("source"), source,
                      F.lit("currency"), F.lit(DEFAULT_CURRENCY)).alias("attributes"),
         F.col("o_orderstatus").alias("attr"),
@@ -182,7 +192,7 @@ def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synthetic_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction table shaped like the forecast job's output, from bars."""
-    b = daily_bars(spark, sf_dir)
+    b = daily_bars(spark, sf_dir, "all")
     return b.select(
         "asset_id",
         F.date_add(F.col("business_date"), 1).alias("bdate"),

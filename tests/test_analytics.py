@@ -70,8 +70,10 @@ def test_payload_attributes_default_for_empty_request(spark):
                                  ("x", "other", D0, D0 + dt.timedelta(days=1))],
                                 "assetId string, dataSourceId string, start timestamp_ntz, end timestamp_ntz")
     got = {r.datasourceId: r for r in RD.bars_payload(stored, req).collect()}
-    assert got["yfinance"].attributes == "open,close,volume" and got["yfinance"].close == 2.0
-    assert got["other"].attributes == "open,high,low,close,volume" and got["other"].businessDate is None
+    assert got["yfinance"].attributes == ["open", "close", "volume"]
+    assert got["yfinance"]["values"] == {"open": 1.0, "close": 2.0, "volume": 3.0}
+    assert got["other"].attributes == ["open", "high", "low", "close", "volume"] and got["other"].businessDate is None
+    assert "attributes" not in RD.bars_payload(stored, req, include_attributes=False).columns
 
 
 def _pdf(df, cols):
