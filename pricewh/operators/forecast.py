@@ -133,13 +133,23 @@ def gbt_forecast(features: DataFrame, seed: int = 42, scored: DataFrame | None =
     )
 
 
-def _metrics(pred: DataFrame) -> dict:
+def prediction_metrics(pred: DataFrame) -> DataFrame:
     """RMSE, MAE and R² in one aggregate pass over the scored rows
     (R² = 1 - SSerr / SStot = 1 - mean(err²) / var_pop(label))."""
     err = F.col("prediction") - F.col(LABEL)
-    r = pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
-                 (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(LABEL))).alias("r2")).first()
-    return r.asDict()
+    return pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
+                    (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(LABEL))).alias("r2"))
+
+
+def _metrics(pred: DataFrame) -> dict:
+    return prediction_metrics(pred).first().asDict()
+
+
+def model_rows(split_df: DataFrame) -> DataFrame:
+    """M3: what the learners see: key, split, label and the assembled vector as an array."""
+    from pyspark.ml.functions import vector_to_array
+    return _assemble(split_df).select("asset_id", "bdate", "split", F.col(LABEL).alias("label"),
+                                      vector_to_array("features").alias("features"))
 
 
 def gbt_metrics(features: DataFrame, seed: int = 42, scored: DataFrame | None = None) -> DataFrame:

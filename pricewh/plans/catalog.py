@@ -114,6 +114,11 @@ def q_ingest_stats(spark, sf):
     return V.ingest_stats(parsed, S.new_bars(incoming, existing))
 
 
+@query("reply_errors")
+def q_reply_errors(spark, sf):
+    return V.json_errors(X.landed_json(spark, sf))
+
+
 def _load_batch(spark, sf):
     stored = X.stored_bars(spark, sf)
     batch = _from(stored, LOAD_BATCH_FROM)
@@ -323,6 +328,21 @@ def q_chrono_split_rows(spark, sf):
     return s.select("asset_id", iso_date("bdate").alias("bdate"), "row_num", "train_size", "split")
 
 
+@query("model_rows")
+def q_model_rows(spark, sf):
+    r = M.model_rows(M.chrono_split(_features(spark, sf, "all")))
+    return r.select("asset_id", iso_date("bdate").alias("bdate"), "split", "label",
+                    *[F.round(F.col("features")[i], 6).alias(c) for i, c in enumerate(M.FEATURES)])
+
+
+@query("prediction_metrics")
+def q_prediction_metrics(spark, sf):
+    # the last day's trend as the prediction of the next return
+    f = _features(spark, sf, "all").withColumn("prediction", F.col("yesterday_trend") / F.col("prev_close"))
+    m = M.prediction_metrics(f)
+    return m.select(*[F.round(c, 8).alias(c) for c in ("rmse", "mae", "r2")])
+
+
 @query("gbt_forecast")
 def q_gbt_forecast(spark, sf):
     f = M.gbt_forecast(_features(spark, sf))

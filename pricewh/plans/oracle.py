@@ -225,6 +225,11 @@ SELECT symbol, {CANON.format(s='symbol')} AS asset_id, CAST(fetched AS BIGINT) A
        CAST(nan_values AS BIGINT) AS nan_values, CAST(stored AS BIGINT) AS stored, CAST(0 AS BIGINT) AS errors
 FROM per"""
 
+ORACLE["reply_errors"] = f"""
+WITH {SEGDAYS}
+SELECT segment AS symbol, CAST(1 AS BIGINT) AS errors, count(DISTINCT strftime(day, '%Y-%m')) + 1 AS replies
+FROM segdays GROUP BY 1"""
+
 ORACLE["load_new_bars"] = f"""
 WITH {BARS}
 SELECT {FLAT.format(src='yfinance', date=ISO_D.format(c='business_date'),
@@ -409,6 +414,19 @@ SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, row_num, train_size,
        CASE WHEN row_num <= train_size THEN 'train' ELSE 'test' END AS split
 FROM s"""
 
+ORACLE["model_rows"] = f"""
+WITH {BARS_ALL}, {FEATURES}
+SELECT asset_id, {ISO_D.format(c='bdate')} AS bdate, CASE WHEN train_rank <= 0.8 THEN 'train' ELSE 'test' END AS split,
+       target_return AS label, round(prev_close, 6) AS prev_close, round(prev_volume, 6) AS prev_volume, round(ma_7d_close, 6) AS ma_7d_close, round(yesterday_trend, 6) AS yesterday_trend
+FROM (SELECT *, percent_rank() OVER (PARTITION BY asset_id ORDER BY bdate) AS train_rank FROM feat)"""
+
+ORACLE["prediction_metrics"] = f"""
+WITH {BARS_ALL}, {FEATURES},
+e AS (SELECT target_return, yesterday_trend / prev_close - target_return AS e FROM feat)
+SELECT round(sqrt(avg(e * e)), 8) AS rmse, round(avg(abs(e)), 8) AS mae,
+       round(1.0 - avg(e * e) / var_pop(target_return), 8) AS r2
+FROM e"""
+
 ORACLE["forecast_view"] = f"""
 WITH {BARS_ALL},
 p AS (SELECT asset_id, CAST(business_date AS DATE) + 1 AS bdate, open AS target_open,
