@@ -6,10 +6,10 @@
    one of its equal sets.  A bucket sorts its signatures and keeps those of two documents or more.
    Where one batch alone has many documents of a signature, only the first goes to the bucket and all
    go past it, spread over tasks: no bucket gathers a frequent signature.
-3. Groups of classes with a common signature are compared for connection, not in all pairs: first each
-   with one leader of the group; then, between the parts that are not connected yet, all pairs that
-   pass two filters which lose nothing: the sizes, and the parities of the features in 1024 cells
-   (each differing feature changes one parity, so too many different parities exclude a pair).
+3. Groups of classes with a common signature are compared for connection, not in all pairs: first
+   each member with a few leaders of its group; then what is still apart with each other.  Pairs must
+   pass two filters which lose nothing: the sizes, and the parities of the features in 1024 cells (each
+   differing feature changes one parity, so too many different parities exclude a pair).
 4. Candidates are compared in full.  Components of the links are found by ``components``.
 """
 
@@ -33,6 +33,8 @@ WIDTH, OF, OUT_OF = 5, 80, 100
 #: Signatures that a bucket holds on average, and documents of a batch that make a signature frequent.
 BUCKET, FREQUENT = 2_000_000, 32
 PARITY_WORDS = 16
+#: Leaders of a group that its members are compared with before all pairs that are left.
+LEADERS = 2
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -61,8 +63,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = members.join(nodes.select("doc_id", "v"), "doc_id").select("sig", "v").distinct()
     members = stored(_different_groups(stored(members, "signature-rows")), "signature-groups")
 
-    leaders = members.groupBy("sig").agg(F.min_by("v", F.xxhash64("v")).alias("leader"))
-    first = (members.join(leaders, "sig").filter("v <> leader")
+    leaders = members.groupBy("sig").agg(F.array(*[F.min_by("v", F.xxhash64("v", F.lit(k))) for k in range(LEADERS)])
+                                         .alias("leaders"))
+    first = (members.join(leaders, "sig").select("v", F.explode("leaders").alias("leader")).filter("v <> leader")
              .select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")).distinct())
     for side in "ab":
         first = first.join(vertices.select(*[F.col(c).alias(f"{side}_{c}") for c in vertices.columns]),
@@ -71,9 +74,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = stored(_verified(first, picked, width, of, out_of), "first-links")
 
     parts = components(links)
-    placed = (members.join(parts, "v", "left").select("sig", "v", F.coalesce("component", "v").alias("component")))
-    open_groups = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = stored(placed.join(open_groups.select("sig"), "sig", "left_semi").join(vertices, "v"), "open-groups")
+    placed = members.join(parts, "v", "left").select("sig", "v", F.coalesce("component", "v").alias("component"))
+    several = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    rest = stored(placed.join(several.select("sig"), "sig", "left_semi").join(vertices, "v"), "open-groups")
     left, right = (rest.select("sig", *[F.col(c).alias(f"{s}_{c}") for c in rest.columns if c != "sig"]) for s in "ab")
     second = (left.join(right, "sig")
               .filter((F.col("a_v") < F.col("b_v")) & (F.col("a_component") != F.col("b_component"))
@@ -90,10 +93,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component; rows without id stay."""
-    kept = (jaccard_components(docs, id_col, text_col, **how).filter("doc_id = component_id OR doc_id IS NULL")
-            .select(F.col("doc_id").alias("_keep")).distinct())
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    """The rows of ``docs`` with the smallest id of their component; rows without id stay.
+
+    Only the ids that go are joined back; Spark broadcasts that table if it is small enough.
+    """
+    gone = jaccard_components(docs, id_col, text_col, **how).filter("doc_id <> component_id")
+    gone = stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "copies")
+    return docs.join(gone, docs[id_col].cast("bigint") == gone["_gone"], "left_anti")
 
 
 def _may_link(a: str, b: str, of: int, out_of: int):
