@@ -123,13 +123,25 @@ def test_attention_is_causal_and_helps(network):
     net, texts = network
     a = np.random.default_rng(3).integers(0, 1000, (1, lm.WINDOW))
     b = a.copy()
-    b[0, 40:] = 7
-    assert np.allclose(lm._forward(net, a)[4][0, :40], lm._forward(net, b)[4][0, :40], atol=1e-5)
+    b[0, 20:] = 7
+    assert np.allclose(lm._forward(net, a)[4][0, :20], lm._forward(net, b)[4][0, :20], atol=1e-5)
     stream = lm.Stream(pa.array(texts), codec(PATH))
     n = len(stream.ids) - len(texts)
     assert lm.log10_scores(net, stream).sum() / n > -1.0
 
 
+def test_prepared_layers_give_the_same_logits(network):
+    net, _ = network
+    ids = np.random.default_rng(5).integers(0, len(net.cls), (3, lm.WINDOW))
+    whole = lm._forward(net, ids)[4]
+    for first in (0, lm.CONTEXT):
+        assert np.allclose(lm.Layers(net).logits(ids, first), whole[:, first:], atol=1e-3, rtol=1e-4)
+    before, after = np.divmod(net.cells[::7], len(net.cls))
+    before = np.concatenate([np.flatnonzero(net.group == before[0])[:1], ids[0]])
+    after = np.concatenate([after[:1], ids[1]])
+    assert np.allclose(lm.Layers(net).log_in_class(before, after), net.log_in_class(before, after), atol=1e-4)
+
+
 def test_attention_gradient(network):
     net, _ = network
     rng = np.random.default_rng(4)
@@ -156,7 +168,8 @@ def test_attention_gradient(network):
 
 
 def test_windows_score_each_id_once():
-    lengths = [1, 2, 63, 64, 65, 66, 112, 113, 400]
+    w, c = lm.WINDOW, lm.CONTEXT
+    lengths = [1, 2, w - 1, w, w + 1, w + 2, 2 * w - c, 2 * w - c + 1, 400]
     offset = np.concatenate([[0], np.cumsum([n + 1 for n in lengths])])
     begin, row = lm.windows(offset)
     for r, n in enumerate(lengths):
