@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pricewh.plans.catalog import QUERIES
+from pricewh.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 NO_ORACLE = {"gbt_forecast", "gbt_metrics", "model_leaderboard"}
@@ -22,8 +24,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_but_models():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLE) == NO_ORACLE
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(QUERIES) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -47,10 +49,10 @@ def _rows(pdf):
     return sorted((tuple(_norm(r[c]) for c in cols) for r in pdf.to_dict("records")), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_spark_equals_duckdb(spark, duck, name):
-    s = E.queries()[name](spark, SF).toPandas()
-    d = duck.execute(E.oracle_sql()[name]).df()
+    s = QUERIES[name](spark, SF).toPandas()
+    d = duck.execute(ORACLE[name]).df()
     assert sorted(s.columns) == sorted(d.columns)
     assert len(s) == len(d)
     assert _rows(s) == _rows(d)
@@ -62,7 +64,7 @@ def test_results_do_not_depend_on_session_zone(spark, duck, name):
     prev = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        s = E.queries()[name](spark, SF).toPandas()
+        s = QUERIES[name](spark, SF).toPandas()
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
-    assert _rows(s) == _rows(duck.execute(E.oracle_sql()[name]).df())
+    assert _rows(s) == _rows(duck.execute(ORACLE[name]).df())
