@@ -31,7 +31,7 @@ from pricewh.llm.shingles import mix, shingle_sets, slices
 
 WIDTH, OF, OUT_OF = 5, 80, 100
 #: Signatures that a bucket holds on average, and documents of a batch that make a signature frequent.
-BUCKET, FREQUENT = 2_000_000, 32
+BUCKET, FREQUENT = 1_000_000, 32
 PARITY_WORDS = 16
 #: Leaders of a group that its members are compared with before all pairs that are left.
 LEADERS = 2

@@ -106,7 +106,7 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out) if out else np.empty(0, np.uint64)), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20):
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 19):
     """Row slices of a batch with at most ``most`` bytes of text, or one row."""
     sizes = np.diff(np.frombuffer(batch.column(text).cast(pa.large_string()).buffers()[1], np.int64)
                     [batch.column(text).offset:batch.column(text).offset + batch.num_rows + 1])
