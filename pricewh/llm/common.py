@@ -16,7 +16,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 LOWER_AZ = {ord(u): low for u, low in zip(string.ascii_uppercase, string.ascii_lowercase, strict=True)}
 
 #: Bounds on an Arrow batch between Spark and Python, so that very long texts never meet in one batch.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 
 def lower_az(c: Column) -> Column:
