@@ -178,6 +178,13 @@ def test_windows_score_each_id_once():
         assert scored == list(range(n))
 
 
+def test_ids_of_long_rows_are_scored_with_context():
+    n = 1000
+    begin, _ = lm.windows(np.array([0, n + 1]))
+    context = [t - b for k, b in enumerate(begin) for t in range(b + (lm.CONTEXT if k else 0), min(b + lm.WINDOW, n))]
+    assert min(context[16:]) >= 16 and max(context) >= 63
+
+
 def test_base_scores(spark, awkward, empty):
     rows = [(i, t or "") for i, t in texts_of(awkward)]
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
