@@ -185,6 +185,34 @@ def test_ids_of_long_rows_are_scored_with_context():
     assert min(context[16:]) >= 16 and max(context) >= 63
 
 
+def test_model_learns_from_all_training_rows(spark, monkeypatch):
+    """The end of a row of more than 20,000 characters, and rows past the first 1,500, are learned from too."""
+    rare, late = "quixotic zymurgy", "jabberwock vorpal"
+    rows = [(i, "the cat sat on the mat") for i in range(2000)]
+    rows += [(2001, "the cat " * 4000 + rare), *((i, late) for i in range(3000, 3005))]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert {2001, 3000} <= {i for i, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    stream = lm.Stream(pa.array([t for _, t in rows]), codec(PATH))
+    monkeypatch.setattr(lm, "STEPS", 10)
+    monkeypatch.setattr(lm, "BATCH", 8)
+    net, drawn, workers = lm.classed_network(lm.id_rows(docs.select("text"), PATH), PATH)
+    assert workers > 1                                          # grows with the windows
+    seen = np.unique(stream.ids)
+    assert (net.slot[seen] > 0).all() and (net.slot > 0).sum() == len(seen)
+    in_one = lm.network_of(np.bincount(stream.ids, minlength=len(net.cls)),
+                           *lm.neighbour_counts(stream, lm.common_ids(np.bincount(stream.ids, minlength=len(net.cls)))))
+    assert (net.cls == in_one.cls).all() and (net.group == in_one.group).all()
+    windows = np.concatenate([np.frombuffer(r.windows, np.int32).reshape(-1, lm.WINDOW + 1) for r in drawn.collect()])
+    assert 0.5 < len(windows) / max(lm.SHARE * len(lm.first_ids(stream)), lm.STEPS * lm.BATCH) < 1.5
+    lm.finish(net, *lm.cell_counts(net, stream))
+    start, before = net.p, lm.log10_scores(net, stream).sum()
+    lm.train_in_rounds(net, drawn, workers)
+    used = np.unique(windows[:, :-1][windows[:, 1:] >= 0])
+    assert (net.p["embed"][net.slot[used]] != start["embed"][net.slot[used]]).any(axis=1).all()
+    assert lm.log10_scores(net, stream).sum() > before
+
+
 def test_base_scores(spark, awkward, empty):
     rows = [(i, t or "") for i, t in texts_of(awkward)]
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
