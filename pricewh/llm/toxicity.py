@@ -206,9 +206,10 @@ def curve_at(curve: np.ndarray, x: np.ndarray) -> float:
 
 
 def train(texts: list[str], toxic: list[int]) -> Model:
-    """Without documents of both labels the model knows nothing and scores the share of toxic ones."""
+    """Without documents of both labels, or without windows, the model knows nothing: it scores the share of toxic
+    ones, 0.5 at most, so that it rejects no document."""
     y = np.array(toxic)
-    share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.0
+    share = min((y.sum() + 0.5) / (len(y) + 1), 0.5) if len(y) else 0.0
     nothing = Model(np.zeros(1 << BITS, np.float32), -FAR, 0.0, np.zeros((2, 2)),
                     np.array([math.log(max(share, 1e-9) / (1 - share)), 0.0, 0.0]))
     if len(set(toxic)) < 2:

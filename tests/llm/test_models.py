@@ -85,6 +85,14 @@ def test_toxicity_of_awkward_rows(spark, awkward, empty):
     assert tox.score_documents(awkward, model).select("row.*").columns == awkward.columns
 
 
+def test_labels_of_one_kind_reject_nothing(spark, awkward, tmp_path):
+    import corpus_pipeline
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 15)], "doc_id long, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = dict(corpus_pipeline.STAGES)["toxicity"](spark, awkward, str(tmp_path))
+    assert kept.count() == awkward.count()
+
+
 def test_spans_point_at_pieces():
     model = tox.Model(np.zeros(1 << tox.BITS, np.float32), -3.0, 0.0, np.zeros((2, 2)), np.array([0.0, 1.0, 1.0]))
     model.weight[tox.slots("scum")[0]] = 9.0
