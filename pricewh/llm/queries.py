@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewh.llm import (
-    attention_lm, bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, toxicity, url_filter)
+    attention_lm, bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, ranked_search,
+    toxicity, url_filter)
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +171,27 @@ FROM s JOIN r ON s.doc_id = r.d GROUP BY ALL"""
 @query
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                        table(spark, sf_dir, "benchmark", "item_id", "text"), top=10)
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(
+    UPPER, LOWER)
+ORACLE["op11_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+f AS (SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, unnest({_TERMS}) AS term FROM d) GROUP BY ALL),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY r),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, c GROUP BY term),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))
+             AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (r), c GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER)
+             AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""

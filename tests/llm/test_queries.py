@@ -12,7 +12,7 @@ from pricewh.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_spark_equals_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SMALL, t)}.parquet')")
     spark_rows, sql_rows = QUERIES[name](spark, SMALL).toPandas(), con.execute(ORACLE[name]).df()
     columns = sorted(spark_rows.columns)
@@ -23,4 +23,4 @@ def test_spark_equals_duckdb(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
