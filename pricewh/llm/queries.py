@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewh.llm import (
-    attention_lm, bpe, chat_format, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing, ranked_search,
-    toxicity, url_filter)
+    attention_lm, bpe, chat_format, conversation_repair, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing,
+    ranked_search, toxicity, url_filter)
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,79 @@ s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf +
 k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER)
              AS rank, doc_id, score FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+def damaged(talks: DataFrame) -> DataFrame:
+    """Conversation rows with faults dealt by crc32(conv_id:turn) % 20; rows that go are marked ``dropped``."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    fault = F.crc32(key) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return (talks.withColumn("fault", fault)
+            .withColumn("copy", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+            .select("conv_id", "turn", F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+                    .otherwise(text).alias("text"), (F.col("fault") == 0).alias("dropped")))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.report(conversation_repair.repair(damaged(talks), "dropped"))
+
+
+#: crc32 of an ASCII string, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+  string_split({}, ''), lambda c: list_prepend(CAST(ascii(c) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+ORACLE["op12_conversation_repair"] = f"""
+WITH RECURSIVE g AS (SELECT DISTINCT conv_id FROM conversations),
+b AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(g.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+      FROM conversations t JOIN (SELECT conv_id, row_number() OVER () AS c FROM g) g ON t.conv_id IS NOT DISTINCT FROM g.conv_id),
+e AS (SELECT *, {_CRC32.format('k')} % 20 AS m FROM b),
+d AS (SELECT c, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+             CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (SELECT *, unnest(CASE m WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) FROM e)),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+r AS MATERIALIZED (SELECT *, substr(role, 1, 1) AS x,
+        CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+             WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'd'
+             WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 't' ELSE '' END AS fault FROM o),
+p AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+             count(*) FILTER (WHERE fault = 't') AS truncated, count(*) AS n FROM r GROUP BY c),
+j AS (SELECT c, count(*) FILTER (WHERE y || x NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM (SELECT c, x, lag(x) OVER (PARTITION BY c ORDER BY i) AS y FROM r) GROUP BY c),
+ins(f, t, k) AS (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (3, 3, 0), (3, 2, 1)),
+nxt(f, sym, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+acts AS MATERIALIZED (
+  SELECT c, i, 'D' AS edit, NULL AS sym, 2 AS cost FROM r
+  UNION ALL SELECT c, i, 'K', x, CASE fault WHEN 't' THEN 5 ELSE 0 END FROM r WHERE fault NOT IN ('b', 'd')
+  UNION ALL SELECT c, i, 'R', s, 1 + CASE fault WHEN 't' THEN 5 ELSE 0 END FROM r, (VALUES ('u'), ('a')) v(s)
+            WHERE fault NOT IN ('b', 'd')),
+dp AS (SELECT c, CAST(0 AS BIGINT) AS i, 0 AS st, '0000000000' AS v FROM p
+       UNION ALL
+       SELECT c, i, st, min(v) FROM (
+         SELECT a.c, a.i, CASE WHEN a.edit = 'D' THEN ins.t ELSE nxt.t END AS st,
+                lpad(CAST(CAST(left(v, 10) AS BIGINT) + 5 * k + cost AS VARCHAR), 10, '0') || substr(v, 11) || repeat('I', k) || edit AS v
+         FROM dp JOIN acts a ON a.c = dp.c AND a.i = dp.i + 1 JOIN ins ON ins.f = dp.st
+              LEFT JOIN nxt ON nxt.f = ins.t AND nxt.sym = a.sym
+         WHERE a.edit = 'D' OR nxt.t IS NOT NULL) GROUP BY c, i, st),
+z AS (SELECT dp.c, min(lpad(CAST(CAST(left(v, 10) AS BIGINT) + 5 * k AS VARCHAR), 10, '0') || substr(v, 11) || repeat('I', k)) AS v
+      FROM dp JOIN p ON p.c = dp.c AND p.n = dp.i JOIN ins ON ins.f = dp.st WHERE ins.t IN (0, 3) GROUP BY dp.c),
+u AS (SELECT c, generate_subscripts(string_split(substr(v, 11), ''), 1) AS q, unnest(string_split(substr(v, 11), '')) AS edit
+      FROM z WHERE length(v) > 10),
+w AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER (PARTITION BY c ORDER BY q) AS at FROM u),
+y AS (SELECT w.c, q, edit, x, role, text, row_number() OVER (PARTITION BY w.c ORDER BY q) AS nth,
+             first_value(edit = 'K' AND x = 's') OVER (PARTITION BY w.c ORDER BY q) AS opened
+      FROM w LEFT JOIN r ON edit <> 'I' AND r.c = w.c AND r.i = w.at WHERE edit <> 'D'),
+t AS (SELECT c, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (nth + CAST(opened AS INT)) % 2 = 1 THEN 'user'
+                                       ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY q)) AS sha
+      FROM (SELECT c, q, edit, role, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, nth, opened FROM y) GROUP BY c)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(CAST(left(v, 10) AS BIGINT), 0) AS cost, coalesce(substr(v, 11), '') AS audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT conv_id, row_number() OVER () AS c FROM g) g LEFT JOIN p USING (c) LEFT JOIN j USING (c) LEFT JOIN z USING (c)
+     LEFT JOIN t USING (c)"""
