@@ -5,6 +5,7 @@ Each query applies its operator to whole tables and derives digest columns from
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewh.llm import (
-    attention_lm, bpe, chat_format, conversation_repair, embedding_dedup, exact_dedup, line_dedup, ngram_join, packing,
-    ranked_search, toxicity, url_filter)
+    attention_lm, bpe, chat_format, conversation_repair, embedding_dedup, exact_dedup, license_scan, line_dedup, ngram_join,
+    packing, ranked_search, toxicity, url_filter)
+from pricewh.llm.license_templates import BASE_PHRASES, NAMED, TEMPLATES
 from pricewh.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -271,3 +273,54 @@ SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(sha, sha256('')) AS repaired_sha256
 FROM (SELECT conv_id, row_number() OVER () AS c FROM g) g LEFT JOIN p USING (c) LEFT JOIN j USING (c) LEFT JOIN z USING (c)
      LEFT JOIN t USING (c)"""
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("found", lambda f: f["base"])
+    names = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda f: f["label"]))), ",")
+    return scanned.select(
+        "doc_id", "n_words", F.aggregate(base, F.lit(0).cast("bigint"), lambda n, f: n + f["places"]).alias("n_base"),
+        F.array_min(F.transform(base, lambda f: f["first_word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda f: f["last_word"])).alias("last_word"),
+        names(base).alias("base_labels"), names(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f["strength"])), F.lit(0.0)).alias("score"))
+
+
+def template_pattern(markup: str) -> str:
+    """A template as a regular expression over words that are each followed by one space."""
+    def words(text):
+        return "".join(w + " " for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()))
+
+    def piece(m):
+        if m[1] is None:
+            return words(m[0])
+        kind, _, value = m[1].partition("=")
+        if kind == "beginOptional":
+            return "(?:"
+        if kind == "endOptional":
+            return ")?"
+        if kind == "var;any":
+            return "(?:" + "|".join(map(words, value.split("|"))) + ")"
+        return "(?:[^ ]+ ){%s}" % value.replace("..", ",")
+    return re.sub(r"<<(.*?)>>|(?:(?!<<).)+", piece, markup, flags=re.DOTALL)
+
+
+_LABELLED = ", ".join(f"CASE WHEN regexp_matches(norm, ' {template_pattern(t)}') THEN '{la}' END" for la, _, t in TEMPLATES)
+_STRENGTH = " ".join(f"WHEN regexp_matches(norm, ' {template_pattern(t)}') THEN {s:.2f}"
+                     for _, s, t in sorted(TEMPLATES + [("", NAMED, p) for _, p in BASE_PHRASES], key=lambda x: -x[1]))
+_PLACES = " || ".join(
+    "[{{'w': i - 1, 'label': '{}'}} FOR i IN range(1, len(ws) + 1) IF {}]".format(
+        la, " AND ".join(f"ws[i + {k}] = '{w}'" if k else f"ws[i] = '{w}'" for k, w in enumerate(p.split())))
+    for la, p in BASE_PHRASES)
+ORACLE["op13_license_scan"] = f"""
+WITH w AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+b AS (SELECT doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' AS norm, {_PLACES} AS base FROM w),
+x AS (SELECT *, [e.label FOR e IN base] AS mine, [e.w FOR e IN base] AS spots,
+             list_filter([{_LABELLED}], lambda v: v IS NOT NULL) AS more FROM b)
+SELECT doc_id, len(ws) AS n_words, len(base) AS n_base, CAST(list_min(spots) AS BIGINT) AS first_word,
+       CAST(list_max(spots) AS BIGINT) AS last_word, coalesce(array_to_string(list_sort(list_distinct(mine)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(mine || more)), ','), '') AS labels,
+       CAST(CASE {_STRENGTH} ELSE 0 END AS DOUBLE) AS score
+FROM x"""
