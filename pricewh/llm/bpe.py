@@ -6,14 +6,17 @@ for, the boundary it names is deleted and the two neighbouring ranks are looked
 pair has a rank.  Words of more than ``SHORT`` parts use the same order of merges over a heap and
 linked parts, as scanning would take quadratic time there.
 
-Texts are cut at white space; each piece is encoded once and remembered in a table of bounded size,
-as bytes of little-endian unsigned 32-bit ids, so a document is one join of such pieces.
+Texts are cut at white space; each piece is encoded once and remembered, as bytes of little-endian
+unsigned 32-bit ids, so a document is one join of such pieces.  The table of pieces has two generations
+of bounded size: when the younger is full, the older goes, but for pieces that were used since.
 
-Words of letters that Unicode got after version 15 may be cut otherwise than by other libraries.
+Which code points are letters and numbers is pinned to Unicode 16, the version that the vocabulary's
+library cuts words by: Python's own tables are older and those of the ``regex`` package later.
 """
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import unicodedata
@@ -29,18 +32,51 @@ from pyspark.sql import functions as F
 from pricewh.llm.common import bound_batches, sha256_hex
 
 SHORT = 64
-#: Pieces and words that a worker remembers (about 60 MB each) besides those of the present batch; then it starts afresh.
-REMEMBERED = 300_000
+#: Pieces in a generation of the table that a worker remembers (about 130 MB), besides those of the present batch.
+REMEMBERED = 1_000_000
 NO_RANK = 1 << 30
 
 # White space by the Unicode property, and the word pattern of the vocabulary file.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 _SPACES = regex.compile(rf"[{_SPACE}]+")
+#: What often ends a word and is a word of its own behind letters.
+_STOPS = frozenset(",.;:!?")
 #: Python's ``split()`` also cuts at these four, which are no white space by the property.
 _ONLY_PYTHON_SPACE = regex.compile(r"[\x1c-\x1f]")
 
 
+# Letters and numbers that Unicode 16 added (first and last code points), and the lower-case
+# letters of what has one since (first, last, first lower-case one).
+UNICODE_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0),
+    (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C),
+    (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA)]
+NEW_LOWER = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+             (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+             (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
+_LOWER = {c: chr(low + c - a) for a, b, low in NEW_LOWER for c in range(a, b + 1)}
+_NEW_LOWER = regex.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in NEW_LOWER) + "]")
+
+
+@lru_cache(maxsize=1)
+def late_letters() -> frozenset[str]:
+    """Letters and numbers of ``regex`` that came after Unicode 16."""
+    known = {chr(c) for a, b in UNICODE_16 for c in range(a, b + 1)}
+    later = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, range(0x80, 0x110000))))
+    return frozenset(c for c in later if unicodedata.category(c) == "Cn" and c not in known)
+
+
+def words_in(piece: str) -> list[str]:
+    """Words of a piece by the pattern; letters of later Unicode versions count as other signs."""
+    if piece.isascii() or late_letters().isdisjoint(piece):
+        return _WORDS.findall(piece)
+    plain = "".join("\ue000" if c in late_letters() else c for c in piece)
+    return [piece[m.start():m.end()] for m in _WORDS.finditer(plain)]
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte value in a byte-level vocabulary."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -69,8 +105,9 @@ class WordBPE:
             self.token[i] = s
         self.number = [str(i) for i in range(size)]
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self._words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        # special tokens go by a key that no piece can be: pieces hold no white space
+        self._fixed = {" " + t: np.uint32(i).tobytes() for t, i in self.special.items()}
+        self._pieces, self._before = dict(self._fixed), {}
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
@@ -78,11 +115,22 @@ class WordBPE:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, as bytes."""
+        collects = gc.isenabled()
+        gc.disable()                            # nothing here forms cycles, and tables are slow to look through
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
-        known = self._pieces
-        if len(known) > REMEMBERED:
-            known.clear()
-        self._learn({p for pieces in cut for p in pieces if p not in known})
+        if len(self._pieces) > REMEMBERED:
+            self._before, self._pieces = self._pieces, dict(self._fixed)
+        known, before = self._pieces, self._before
+        wanted = set().union(*cut).difference(known)
+        known.update((p, before[p]) for p in wanted.intersection(before))
+        self._learn(wanted.difference(before))
         return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -93,34 +141,40 @@ class WordBPE:
         return " ".join(map(self.number.__getitem__, ids.tolist()))
 
     def _cut(self, text: str) -> list[str]:
-        """Pieces between white space, and special tokens."""
+        """Pieces between white space, lower-cased letter by letter, and special tokens."""
         if "<|" not in text:
             return self._cut_plain(text)
-        cut = [[s] if s in self.special else self._cut_plain(s) for s in self._special.split(text)]
+        cut = [[" " + s] if s in self.special else self._cut_plain(s) for s in self._special.split(text)]
         return [p for pieces in cut for p in pieces]
 
     @staticmethod
     def _cut_plain(text: str) -> list[str]:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")     # no final sigma
+            if _NEW_LOWER.search(text):
+                text = text.translate(_LOWER)
+        text = text.lower()
         if _ONLY_PYTHON_SPACE.search(text):
             return [p for p in _SPACES.split(text) if p]
         return text.split()
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encode new pieces and remember them."""
-        words_of = {}
+        """Encode new pieces and remember them.  A word is a piece too."""
+        known, words_of, words = self._pieces, {}, []
         for p in pieces:
-            if p in self.special:
-                self._pieces[p] = np.uint32(self.special[p]).tobytes()
-                continue
-            lowered = p.replace("Σ", "σ").lower()   # letter by letter: no final sigma
-            words_of[p] = [lowered] if lowered.isascii() and lowered.isalpha() else _WORDS.findall(lowered)
-        known = self._words
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [(w, w.encode()) for w in {w for words in words_of.values() for w in words if w not in known}]
-        for top in (8, 16, SHORT):                  # words of like length together: little padding
+            if p.isalpha():
+                words.append(p)
+            elif p[-1] in _STOPS and p[:-1].isalpha():
+                words_of[p] = (p[:-1], p[-1])
+            else:
+                found = words_in(p)
+                if len(found) == 1:
+                    words.append(p)
+                else:
+                    words_of[p] = found
+        new = {w for found in words_of.values() for w in found}.difference(known)
+        new = [(w, w.encode()) for w in new.union(words)]
+        for top in (4, 6, 8, 10, 12, 16, 24, SHORT):     # words of like length together: little padding
             now = [x for x in new if len(x[1]) <= top]
             new = [x for x in new if len(x[1]) > top]
             for i in range(0, len(now), 20_000):
@@ -128,8 +182,8 @@ class WordBPE:
                 known.update(zip((w for w, _ in some), self._merge_short([d for _, d in some])))
         for w, data in new:
             known[w] = np.array(self._merge_long(self._letters(data)), "<u4").tobytes()
-        for p, words in words_of.items():
-            self._pieces[p] = known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words))
+        for p, found in words_of.items():
+            known[p] = b"".join(map(known.__getitem__, found))
 
     def _letters(self, data: bytes) -> list[int]:
         return [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]

@@ -42,6 +42,33 @@ def test_long_and_short_words_merge_alike(monkeypatch):
     assert [own.encode_many([w])[0] for w in words] == short
 
 
+def test_every_code_point():
+    """Letters, numbers, case, composition and white space of all of Unicode are those of the library."""
+    own = bpe.WordBPE(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for i in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}1b {chr(c)}{chr(c)}x" for c in points[i:i + 50_000]]
+        theirs = LIBRARY.encode_batch(texts, add_special_tokens=False)
+        assert [t for t, e, d in zip(texts, theirs, own.encode_many(texts)) if e.ids != np.frombuffer(d, "<u4").tolist()] == []
+
+
+def test_pieces_of_the_older_generation_come_back(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    own, texts = bpe.WordBPE(PATH), ["one, two <|endoftext|> three", "one, <|ENDOFTEXT|> four", "two five!? one,", "x y z", "one, two"]
+    for text in texts * 3:
+        assert own.encode(text).tolist() == _ids(text)
+    assert len(own._pieces) + len(own._before) < 30
+
+
+def test_round_trip_digests_of_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip(docs, PATH).collect()}
+    for doc_id, text in texts_of(docs):
+        ids = _ids(text)
+        assert got[doc_id] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                               hashlib.sha256(LIBRARY.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+
+
 def test_encode_and_decode_tables(awkward, empty):
     docs = awkward.sparkSession.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").limit(40).unionByName(
         awkward.select("doc_id", "text"))
