@@ -33,8 +33,8 @@ def return_features(bars: DataFrame) -> DataFrame:
     yesterday's trend and the open-vs-previous-close return (rows whose
     previous close is 0 have no label and are dropped).
 
-    The windows run per (asset, month) with the 7 preceding rows copied in
-    (``windows.with_lookback``), so no task holds a whole asset."""
+    The windows run per asset and range of dates with the 7 preceding rows
+    copied in (``windows.with_lookback``), so no task holds a whole asset."""
     x = W.with_lookback(bars.select("asset_id", F.col("business_date").alias("bdate"),
                                     F.col("open").alias("target_open"), "close", "volume"),
                         "asset_id", "bdate", 7)
@@ -53,7 +53,7 @@ def return_features(bars: DataFrame) -> DataFrame:
 def chrono_split(features: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
     """Per asset ``percent_rank`` by date; train when <= fraction.
 
-    The rank comes from per-(asset, month) row numbers plus month offsets
+    The rank comes from places in a range-partitioned order
     (``windows.ranked``), not from a window over the whole asset."""
     r = W.ranked(features, "asset_id", "bdate")
     pr = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(

@@ -56,7 +56,7 @@ def _rsi_cols(df: DataFrame, periods: int, w=None) -> DataFrame:
 def rsi_series(bars: DataFrame, periods: int = 14) -> DataFrame:
     """W8 over the whole history: simple rolling means of gains and losses
     over ``periods`` rows; rows without a full frame are left out.  Runs per
-    (asset, month) with the ``periods`` preceding bars copied in
+    asset and range of dates with the ``periods`` preceding bars copied in
     (``windows.with_lookback``), so no task holds a whole asset."""
     x = W.with_lookback(bars.select("asset_id", "business_date", "close"), "asset_id", "business_date", periods)
     df = _rsi_cols(x, periods, W.by_chunk("asset_id")).filter(~F.col("_halo"))

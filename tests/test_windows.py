@@ -24,8 +24,8 @@ def _plain(df, k):
                      F.count(F.lit(1)).over(w.rowsBetween(-k, -1)).alias("n"))
 
 
-def _chunked(df, k):
-    x = W.with_lookback(df, "key", "t", k, chunk=F.to_date("t"))
+def _chunked(df, k, partitions=5):
+    x = W.with_lookback(df, "key", "t", k, partitions=partitions)
     w = W.by_chunk("key")
     return (x.select("key", "t", "_halo", F.lag("v", k).over(w).alias("lag_k"),
                      F.sum("v").over(w.rowsBetween(-k, 0)).alias("s"),
@@ -47,6 +47,51 @@ def test_lookback_windows_equal_plain_windows(spark, rows, k):
     assert a == b
 
 
+def test_null_dates_and_null_keys_are_kept(spark):
+    data = [(key, None if i == 3 else T0 + dt.timedelta(days=i), float(i)) for key in ("a", None, "b") for i in range(7)]
+    df = spark.createDataFrame(data, "key string, t timestamp_ntz, v double")
+    for partitions in (1, 4):
+        assert sorted(map(repr, _plain(df, 2).collect())) == sorted(map(repr, _chunked(df, 2, partitions).collect()))
+        got = {(r.key, r.t): (r._g, r._n) for r in W.ranked(df, "key", "t", partitions).collect()}
+        assert len(got) == 21 and all(got[k, None] == (1, 7) for k in ("a", None, "b"))
+
+
+def test_a_hot_asset_and_day_is_spread(spark):
+    """A third of all rows on one (key, time): many chunks hold them, and ranks stay a permutation."""
+    df = spark.range(0, 30_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(T0)).otherwise(F.lit(T0) + F.make_dt_interval(F.col("id") % 1000)).alias("t"),
+        F.col("id").cast("double").alias("v"))
+    r = W.ranked(df, "key", "t", 12).cache()
+    chunks = {x._chunk: x["count"] for x in r.groupBy("_chunk").count().collect()}
+    assert len(chunks) == 12 and max(chunks.values()) < 2 * 30_000 / 12
+    assert r.filter("key = 'hot'").select("_chunk").distinct().count() >= 4
+    assert r.groupBy("key").agg((F.count_distinct("_g") == F.count("*")).alias("whole"), F.max("_g").alias("m"),
+                                F.first("_n").alias("n")).filter("NOT whole OR m <> n").count() == 0
+    x = W.with_lookback(df, "key", "t", 3, 12)
+    w = W.by_chunk("key")
+    missing = (x.withColumn("back", F.lag("_g", 3).over(w)).filter("NOT _halo")
+               .filter("(_g > 3 AND back IS NULL) OR back <> _g - 3"))
+    assert missing.count() == 0
+    r.unpersist()
+
+
+def test_layout_is_a_function_of_the_rows(spark):
+    df = spark.createDataFrame([("k", T0, float(i % 7), {"a": i}) for i in range(200)],
+                               "key string, t timestamp_ntz, v double, m map<string,int>")
+    ranks = [sorted((r.v, r._g) for r in W.ranked(df.repartition(n), "key", "t", 6).collect()) for n in (1, 3, 8)]
+    assert ranks[0] == ranks[1] == ranks[2]
+
+
+def test_input_is_read_once(spark):
+    """The operators' plans read the laid-out table; only the job that writes it reads the input."""
+    bars = X.daily_bars(spark, "/root/testdata/sf0.01", "all")
+    for df in (M.return_features(bars), Q.rsi_series(bars)):
+        scans = re.findall(r"Location: \w+ \[(\S+)", df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        assert scans and all("laid-out" in s for s in scans)
+
+
 def test_ranked_gives_per_key_rank_and_count(spark):
     data = [("a", T0 + dt.timedelta(days=31 * i), 1.0) for i in range(5)] + [("b", T0, 2.0)]
     r = W.ranked(spark.createDataFrame(data, "key string, t timestamp_ntz, v double"), "key", "t")
