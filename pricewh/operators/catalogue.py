@@ -11,11 +11,20 @@ version history in one job, with these rules:
 * after a tombstone the next save starts a new *life* at version 1, so
   ``(asset_id, life, version)`` is unique.
 
-Skew: one asset may own a large share of the log, so no window is keyed by
-asset alone over raw rows.  Rows are windowed per (asset, time bucket) and
-each bucket contributes one summary row; windows over the summaries (one
-row per asset and bucket, bounded by the days of history) carry ranks,
-life counters and neighbours across bucket edges.
+Skew: one asset may own a large share of the log, and of one hour of it, so
+no window is keyed by asset alone over raw rows.  The log is laid out once in
+(asset, time) order (``windows.laid_out``) and cut wherever its range
+partitions end.  A run of one asset's changes, however it is cut, has a small
+summary, and summaries of neighbouring runs merge from left to right:
+
+* how many changes and deletes in it take effect, leaving out a *leading*
+  delete, of which only the run before can tell whether it does;
+* where in it the last effective delete is;
+* its first time, and its last change with payload.
+
+Prefix merges over an asset's summaries (one row, unless the asset crosses
+the end of a partition) give each run its offsets; rows then need nothing
+but their own run.  A change without a time cannot be placed and fails the job.
 """
 
 from __future__ import annotations
@@ -23,7 +32,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewh.functions.columns import SOURCE_DESCRIPTION_PREFIX, capitalize, check_page, trunc_hour
+from pricewh.functions.columns import SOURCE_DESCRIPTION_PREFIX, capitalize, check_page
+from pricewh.operators.windows import laid_out, on_keys
 
 KEYS = ("asset_id", "change_ts", "seq", "op")
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -33,45 +43,36 @@ def _payload(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in KEYS and not c.startswith("_")]
 
 
-def _bucket(unit: str):
-    # Buckets of a timestamp_ntz computed without any time zone.
-    if unit == "day":
-        return F.to_date("change_ts")
-    if unit == "hour":
-        return trunc_hour("change_ts")
-    if unit == "month":
-        return F.trunc(F.to_date("change_ts"), "month")
-    raise ValueError(f"bucket must be hour, day or month, got {unit!r}")
-
-
-def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
-    """One shuffle of the log by (asset, bucket), one window pass, and one
-    small summary row per bucket.
-
-    Inside a bucket everything is known except whether a *leading* delete
-    is effective: that depends on the previous bucket's last raw change
-    (a delete only counts after a save).  Each bucket therefore reports its
-    counters without that row plus a flag; the per-asset window over the
-    summaries resolves the flag from the previous bucket's last change and
-    turns the counters into offsets.  A save's ``valid_to`` is the next raw
-    change (a change after a save is always effective), so no look-ahead
-    over effective rows is needed.
+def _runs(changes: DataFrame, partitions: int | None) -> DataFrame:
+    """The log as a stored table in (asset, time, seq) order with ``_chunk`` and ``_id``."""
+    placed = F.coalesce("change_ts", F.raise_error(F.concat(
+        F.lit("a change has no change_ts: asset "), F.coalesce("asset_id", F.lit("NULL")))).cast("timestamp_ntz"))
+    return laid_out(changes.withColumn("change_ts", placed), "asset_id", ["change_ts", "seq"], "changes", partitions)
+
+
+def _scan(changes: DataFrame, seeded: bool) -> DataFrame:
+    """History of a log that is cut into runs: ``_chunk`` numbers them in order, ``_id`` the rows.
+
+    Inside a run everything is known except whether a leading delete is
+    effective: that depends on the last raw change before the run (a delete
+    only counts after a save).  Each run's summary leaves that row out and
+    flags it; the merge over an asset's summaries resolves the flag and turns
+    the counters into offsets.  A save's ``valid_to`` is the next raw change
+    (a change after a save is always effective), so no look-ahead over
+    effective rows is needed.
     """
     payload = _payload(changes)
-    order = ["change_ts", "seq"]
-    df = changes.withColumn("_bkt", _bucket(bucket))
-    if not seeded:
-        df = df.withColumn("_seed", F.lit(False))
-    wl = Window.partitionBy("asset_id", "_bkt").orderBy(*order)
+    df = changes if seeded else changes.withColumn("_seed", F.lit(False))
+    wl = Window.partitionBy("asset_id", "_chunk").orderBy("_id")
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wa = Window.partitionBy("asset_id").orderBy("_bkt")
+    wa = Window.partitionBy("asset_id").orderBy("_chunk")
 
     row = F.struct(F.col("op"), *[F.col(c) for c in payload])
     is_del = F.col("op") == "delete"
     df = (df.withColumn("_lr", F.row_number().over(wl))
             .withColumn("_prev", F.lag(row).over(wl))
             .withColumn("_next", F.lead("change_ts").over(wl)))
-    lead_del = (F.col("_lr") == 1) & is_del & ~F.col("_seed")       # effective iff previous bucket ends in a save
+    lead_del = (F.col("_lr") == 1) & is_del & ~F.col("_seed")       # effective iff the run before ends in a save
     base = F.when(lead_del, False).otherwise(
         ~is_del | F.col("_seed") | (F.col("_prev").getField("op") == "save"))
     df = df.withColumn("_fd", lead_del).withColumn("_b", base)
@@ -83,9 +84,9 @@ def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
             .withColumn("_has_fd", F.first("_fd").over(upto))
             .withColumn("_first_ts", F.first("change_ts").over(upto)))
 
-    # per-bucket summary from each bucket's last row, resolved per asset
+    # a run's summary is at its last row; merged per asset
     s = (df.filter(F.col("_next").isNull())
-         .select("asset_id", "_bkt", row.alias("_last"), F.col("_has_fd"), F.col("_c").alias("_n0"),
+         .select("asset_id", "_chunk", row.alias("_last"), F.col("_has_fd"), F.col("_c").alias("_n0"),
                  F.col("_cd").alias("_nd0"), F.col("_ldr").alias("_ldr0"), "_first_ts"))
     prev_last = F.lag("_last").over(wa)
     s = (s.withColumn("_prev_b", prev_last)
@@ -99,8 +100,8 @@ def _scan(changes: DataFrame, bucket: str, seeded: bool) -> DataFrame:
     s = (s.withColumn("_off", F.coalesce(F.sum("_n").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
           .withColumn("_doff", F.coalesce(F.sum("_nd").over(wa.rowsBetween(*_BEFORE)), F.lit(0))))
     s = s.withColumn("_pdr", F.max(F.col("_off") + F.col("_ldr_b")).over(wa.rowsBetween(*_BEFORE)))
-    df = df.join(s.select("asset_id", "_bkt", "_prev_b", "_h", "_off", "_doff", "_next_ts", "_pdr"),
-                 ["asset_id", "_bkt"])
+    df = on_keys(df, s.select("asset_id", "_chunk", "_prev_b", "_h", "_off", "_doff", "_next_ts", "_pdr"),
+                 "asset_id", "_chunk")
 
     fd, h = F.col("_fd"), F.col("_h")
     shift = (h & ~fd).cast("int")             # an effective leading delete precedes this row
@@ -131,26 +132,26 @@ def _comparable(df: DataFrame, payload: list[str]):
                       for c in payload])
 
 
-def drop_unchanged_saves(changes: DataFrame, bucket: str = "day") -> DataFrame:
-    """Q4 option: drop saves whose payload equals the live version's.
+def drop_unchanged_saves(changes: DataFrame) -> DataFrame:
+    """Q4 option, on a log that is cut into runs: drop saves whose payload equals the live version's.
 
     A save is such a no-op exactly when the previous raw change is a save
     with the same payload (a chain of equal saves all match the live one;
     after a delete nothing is live).  Dropping them leaves every other
     row's previous raw change a save as before, so the scan over the rest
-    gives the history without those versions.  The previous change across
-    bucket edges comes from per-bucket last rows, as in the scan.
+    gives the history without those versions.  The previous change of a
+    run's first row comes from the run before it, as in the scan.
     """
     payload = [c for c in _payload(changes)]
-    df = changes.withColumn("_bkt", _bucket(bucket)).withColumn("_cmp", _comparable(changes, payload))
-    wl = Window.partitionBy("asset_id", "_bkt").orderBy("change_ts", "seq")
+    df = changes.withColumn("_cmp", _comparable(changes, payload))
+    wl = Window.partitionBy("asset_id", "_chunk").orderBy("_id")
     df = (df.withColumn("_pop", F.lag("op").over(wl)).withColumn("_pcmp", F.lag("_cmp").over(wl))
             .withColumn("_lr", F.row_number().over(wl))
-            .withColumn("_end", F.lead("seq").over(wl).isNull()))
-    wa = Window.partitionBy("asset_id").orderBy("_bkt")
-    s = (df.filter("_end").select("asset_id", "_bkt", F.struct("op", "_cmp").alias("_l"))
-         .withColumn("_pb", F.lag("_l").over(wa)).select("asset_id", "_bkt", "_pb"))
-    df = df.join(s, ["asset_id", "_bkt"])
+            .withColumn("_end", F.lead("_id").over(wl).isNull()))
+    wa = Window.partitionBy("asset_id").orderBy("_chunk")
+    s = (df.filter("_end").select("asset_id", "_chunk", F.struct("op", "_cmp").alias("_l"))
+         .withColumn("_pb", F.lag("_l").over(wa)).select("asset_id", "_chunk", "_pb"))
+    df = on_keys(df, s, "asset_id", "_chunk")
     first = F.col("_lr") == 1
     pop = F.when(first, F.col("_pb").getField("op")).otherwise(F.col("_pop"))
     pcmp = F.when(first, F.col("_pb").getField("_cmp")).otherwise(F.col("_pcmp"))
@@ -160,18 +161,19 @@ def drop_unchanged_saves(changes: DataFrame, bucket: str = "day") -> DataFrame:
     return df.filter(~noop).select(*changes.columns)
 
 
-def scd2_history(changes: DataFrame, bucket: str = "day", skip_unchanged: bool = False) -> DataFrame:
+def scd2_history(changes: DataFrame, skip_unchanged: bool = False, partitions: int | None = None) -> DataFrame:
     """Version history for every asset in a change log (V1 + V2).
 
     ``skip_unchanged`` (off by default, like the original) makes a save
-    that repeats the live version's payload a no-op (Q4)."""
-    if skip_unchanged:
-        changes = drop_unchanged_saves(changes, bucket)
-    return _scan(changes, bucket, seeded=False).drop("_seed")
+    that repeats the live version's payload a no-op (Q4).  ``partitions``
+    fixes the number of runs' partitions; by default AQE sizes them.
+    Changes of a null asset id are one asset's."""
+    runs = _runs(changes, partitions)
+    return _scan(drop_unchanged_saves(runs) if skip_unchanged else runs, seeded=False).drop("_seed")
 
 
-def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
-               skip_unchanged: bool = False) -> DataFrame:
+def scd2_apply(history: DataFrame, batch: DataFrame, skip_unchanged: bool = False,
+               partitions: int | None = None) -> DataFrame:
     """Apply a batch of later changes to a stored history (V3).
 
     Each touched asset's newest stored row seeds the scan: an open live
@@ -183,7 +185,8 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
     """
     payload = _payload(batch)
     touched = batch.select("asset_id").distinct()
-    hist_t = history.join(touched, "asset_id", "left_semi")
+    # an asset's newest row, live or tombstone, is open
+    hist_t = on_keys(history.filter(F.col("valid_to").isNull()), touched, "asset_id", how="left_semi")
     newest = (hist_t.groupBy("asset_id")
               .agg(F.max_by(F.struct("life", "version", "is_deleted", "valid_from", "seq", *payload),
                             F.struct("life", "version")).alias("n"))
@@ -197,29 +200,26 @@ def scd2_apply(history: DataFrame, batch: DataFrame, bucket: str = "day",
     # of giving a wrong history.
     last = newest.select("asset_id", F.struct(F.col("valid_from"), F.col("seq")).alias("_last"))
     late = F.struct(F.col("change_ts"), F.col("seq")) <= F.col("_last")
-    batch = (batch.join(last, "asset_id", "left")
+    batch = (on_keys(batch, last, "asset_id", how="left")
              .withColumn("change_ts", F.when(late, F.raise_error(F.concat(
                  F.lit("scd2_apply: change not later than the stored history for asset "),
-                 F.col("asset_id")))).otherwise(F.col("change_ts")).cast("timestamp_ntz"))
+                 F.coalesce("asset_id", F.lit("NULL"))))).otherwise(F.col("change_ts")).cast("timestamp_ntz"))
              .drop("_last"))
-    log = batch.withColumn("_seed", F.lit(False)).unionByName(seeds)
-    if skip_unchanged:
-        log = drop_unchanged_saves(log, bucket)
-    scan = _scan(log, bucket, seeded=True)
+    runs = _runs(batch.withColumn("_seed", F.lit(False)).unionByName(seeds), partitions)
+    scan = _scan(drop_unchanged_saves(runs) if skip_unchanged else runs, seeded=True)
     base = newest.select("asset_id", F.col("life").alias("_bl"), F.col("version").alias("_bv"))
-    new = (scan.join(base, "asset_id", "left")
+    new = (on_keys(scan, base, "asset_id", how="left")
            .withColumn("version", F.when(F.col("life") == 0, F.col("version") + F.coalesce(F.col("_bv"), F.lit(1)) - 1)
                        .otherwise(F.col("version")))
            .withColumn("life", F.col("life") + F.coalesce(F.col("_bl"), F.lit(0)))
            .filter(~(F.col("_seed") & F.col("is_deleted")))
            .drop("_seed", "_bl", "_bv"))
     replaced = newest.filter(~F.col("is_deleted")).select("asset_id", "life", "version")
-    kept = history.join(replaced, ["asset_id", "life", "version"], "left_anti")
+    kept = on_keys(history, replaced, "asset_id", "life", "version", how="left_anti")
     return kept.unionByName(new.select(*history.columns))
 
 
-def scd2_apply_stored(spark, history_path: str, batch: DataFrame, out_path: str,
-                      bucket: str = "day") -> DataFrame:
+def scd2_apply_stored(spark, history_path: str, batch: DataFrame, out_path: str) -> DataFrame:
     """V3 on stored tables: read the history at ``history_path``, apply
     ``batch`` and write the new history to ``out_path`` (a new path; a job
     never overwrites what it reads).  Returns the written table, so a chain
@@ -227,7 +227,7 @@ def scd2_apply_stored(spark, history_path: str, batch: DataFrame, out_path: str,
     if history_path.rstrip("/") == out_path.rstrip("/"):
         raise ValueError("out_path must differ from history_path")
     from pricewh.sources.sinks import materialize
-    return materialize(scd2_apply(spark.read.parquet(history_path), batch, bucket), out_path)
+    return materialize(scd2_apply(spark.read.parquet(history_path), batch), out_path)
 
 
 def live(history: DataFrame) -> DataFrame:
