@@ -10,6 +10,7 @@ results compare value by value with the DuckDB SQL in
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,11 @@ from pricewh.functions.columns import PROVIDER_ALT, PROVIDER_DEFAULT, iso_date,
 from pricewh.operators import bars as B
 from pricewh.operators import catalogue as C
 from pricewh.operators import forecast as M
+from pricewh.operators import history_store as H
 from pricewh.operators import quant as Q
 from pricewh.operators import reads as RD
 from pricewh.operators import rollups as R
+from pricewh.session import scratch_path
 from pricewh.sources import fixtures as X
 from pricewh.sources import sinks as S
 from pricewh.sources import vendor as V
@@ -37,6 +40,7 @@ REPLAY_INGEST_ID = "job_etl_replay"
 REPLAY_SYSTEM_DATE = "2026-01-02 00:00:00"
 STALE_COUNT = 1000                      # added to the counts of the stored rollups
 SCD2_SPLIT = "1998-01-01"               # history before, batch from here
+PAGE_OFFSET = 75
 RANGE_START, RANGE_END = "1996-01-01", "1997-01-01"
 PAYLOAD_START, PAYLOAD_END = "1996-01-01", "1996-04-01"
 ALT_ROUTED = ["BUILDING-USD", "^MACHINERY"]
@@ -217,6 +221,27 @@ def q_scd2_apply(spark, sf):
     return _flat_history(C.scd2_apply(old, ch.filter(F.col("change_ts") >= cut)))
 
 
+@query("scd2_apply_stored")
+def q_scd2_apply_stored(spark, sf):
+    """V3 on disk; the batch arrives twice."""
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex[:12]}")
+    ch = X.asset_changes(spark, sf)
+    cut = F.lit(SCD2_SPLIT).cast("timestamp_ntz")
+    H.write_history(C.scd2_history(ch.filter(F.col("change_ts") < cut)), path)
+    for _ in range(2):
+        H.apply_batch(spark, path, ch.filter(F.col("change_ts") >= cut), "later")
+    return _flat_history(H.versions(spark, path))
+
+
+@query("catalogue_page")
+def q_catalogue_page(spark, sf):
+    """A page deep in the catalogue, from the open versions of a stored history."""
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex[:12]}")
+    H.write_history(_history(spark, sf), path)
+    H.write_pages(H.open_versions(spark, path), path + "-pages", partitions=8)
+    return H.page(spark, path + "-pages", PAGE_OFFSET, 50)
+
+
 @query("active_assets")
 def q_active_assets(spark, sf):
     return C.active_assets(_history(spark, sf), offset=20, limit=50)

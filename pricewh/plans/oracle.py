@@ -287,6 +287,7 @@ WITH {HISTORY}
 SELECT {FLAT_HIST} FROM hist"""
 
 ORACLE["scd2_apply"] = ORACLE["scd2_history"]
+ORACLE["scd2_apply_stored"] = ORACLE["scd2_history"]
 
 ORACLE["current_asset"] = f"""
 WITH {HISTORY}
@@ -296,6 +297,8 @@ ORACLE["active_assets"] = f"""
 WITH {HISTORY}
 SELECT asset_id, symbol, asset_class FROM live ORDER BY asset_id LIMIT 50 OFFSET 20"""
 
+ORACLE["catalogue_page"] = ORACLE["active_assets"].replace("OFFSET 20", "OFFSET 75")
+
 ORACLE["data_sources"] = f"""
 WITH {HISTORY}
 SELECT DISTINCT source AS data_source_id FROM live WHERE source IS NOT NULL ORDER BY 1 LIMIT 20"""
