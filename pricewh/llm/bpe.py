@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pricewh.llm.common import bound_batches, sha256_hex
 
 SHORT = 64
-#: Pieces in a generation of the table that a worker remembers (about 130 MB), besides those of the present batch.
-REMEMBERED = 1_000_000
+#: Pieces in a generation of the table that a worker remembers (about 100 MB), besides those of the present batch.
+REMEMBERED = 600_000
 NO_RANK = 1 << 30
 
 # White space by the Unicode property, and the word pattern of the vocabulary file.
