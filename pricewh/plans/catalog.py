@@ -29,6 +29,7 @@ from pricewh.session import scratch_path
 from pricewh.sources import fixtures as X
 from pricewh.sources import sinks as S
 from pricewh.sources import vendor as V
+from pricewh.sources.bar_store import BarStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -138,6 +139,17 @@ def q_load_new_bars(spark, sf):
     return _flat_stored(S.new_bars(incoming, existing))
 
 
+@query("append_load")
+def q_append_load(spark, sf):
+    """S6 on disk, one asset a customer beside the hot ones: a batch that overlaps what is stored, loaded twice."""
+    stored = X.stored_bars(spark, sf, "all")
+    store = BarStore(spark, f"bars_{uuid.uuid4().hex[:12]}")
+    store.append(_before(stored, LOAD_EXISTING_BEFORE), "existing")
+    for _ in range(2):
+        store.append(_from(stored, LOAD_BATCH_FROM), "batch")
+    return _flat_stored(store.bars())
+
+
 @query("upsert_rollups")
 def q_upsert_rollups(spark, sf):
     stored = X.stored_bars(spark, sf)

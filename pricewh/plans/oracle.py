@@ -160,6 +160,9 @@ WITH {BARS}
 SELECT {FLAT.format(src='yfinance', date=ISO_D.format(c='business_date'), ingest="'job_etl_fixture'", flags=0)}
 FROM bars"""
 
+# bars before the first day, and the batch's from it on, each stored once: all bars
+ORACLE["append_load"] = ORACLE["bars"].replace(BARS, BARS_ALL)
+
 _WIDE_ROWS = f"""
 WITH {SEGDAYS},
 wide AS (
