@@ -6,7 +6,8 @@ one label are compared in pairs ("tiles") unless the boxes around their leading
 farther apart than two linked vectors can be.  In a tile products of leading coordinates are added up
 a few dimensions at a time; what the rest can still add is at most the product of the two suffix
 norms (Cauchy-Schwarz), and a pair whose sum and bound stay below the threshold is given up.  A tile
-ends as soon as no pair is left.
+ends as soon as no pair is left.  Turned vectors carry rounding: pairs whose sum comes within ``ROUNDING``
+of the threshold are decided by the cosine of the vectors as given, which travel along.
 
 A tile returns for each of its linked vectors the number of links and one other vector of its
 connected part, not the pairs, so a large group of near copies costs rows in proportion to its size.
@@ -50,7 +51,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     size = (one.groupBy(F.size("x").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect())
     axes = principal_axes(one, int(size[0]["size"])) if size else np.zeros((0, 0))
     label_type = picked.schema["label"].dataType.simpleString()
-    rotated = one.mapInArrow(_rotate(axes), f"vec_id long, label {label_type}, size int, lead double, y binary")
+    rotated = one.mapInArrow(_rotate(axes), f"vec_id long, label {label_type}, size int, lead double, y binary, x binary")
     blocks = stored(rotated.repartitionByRange("label", "size", "lead", "vec_id")
                     .sortWithinPartitions("label", "size", "lead", "vec_id")
                     .mapInArrow(_cut, _block_schema(label_type)), "vector-blocks")
@@ -95,8 +96,9 @@ def tiles(blocks: DataFrame, threshold: float) -> DataFrame:
             .select("size", "a_block", "b_block"))
     for s in "ab":
         near = near.join(blocks.select(F.col("block").alias(f"{s}_block"), F.col("ids").alias(f"{s}_ids"),
-                                       F.col("y").alias(f"{s}_y")), f"{s}_block")
-    return near.select("size", (F.col("a_block") == F.col("b_block")).alias("same"), "a_ids", "a_y", "b_ids", "b_y")
+                                       F.col("y").alias(f"{s}_y"), F.col("x").alias(f"{s}_x")), f"{s}_block")
+    return near.select("size", (F.col("a_block") == F.col("b_block")).alias("same"),
+                       *[f"{s}_{c}" for s in "ab" for c in ("ids", "y", "x")])
 
 
 def _unit(vectors: list[list]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +127,40 @@ def _rotate(axes: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("vec_id").take(rows), b.column("label").take(rows),
                      pa.array(np.full(len(rows), size, np.int32)), pa.array(np.ascontiguousarray(y[:, 0])),
-                     pa.array([v.tobytes() for v in y], pa.binary())], names=["vec_id", "label", "size", "lead", "y"])
+                     pa.array([v.tobytes() for v in y], pa.binary()),
+                     pa.array([_given(vectors[i]) for i in at[valid]], pa.binary())],
+                    names=["vec_id", "label", "size", "lead", "y", "x"])
     return run
 
 
+def _given(vector: list[float]) -> bytes:
+    """The vector scaled by a power of two, which keeps its cosines to the last bit."""
+    x = np.array(vector, np.float64)
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])).tobytes()
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """In single precision if that loses nothing."""
+    single = x.astype(np.float32)
+    return (single if (single == x).all() else x).tobytes()
+
+
+def _unpacked(data: np.ndarray, rows: int, size: int) -> np.ndarray:
+    return data.view(np.float32 if len(data) == 4 * rows * size else np.float64).reshape(rows, size).astype(np.float64)
+
+
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``a`` with that of ``b`` in double precision, summed component by component."""
+    dot, of_a, of_b = np.zeros((3, len(a)))
+    for d in range(a.shape[1]):
+        dot += a[:, d] * b[:, d]
+        of_a += a[:, d] * a[:, d]
+        of_b += b[:, d] * b[:, d]
+    return dot / np.sqrt(of_a * of_b)
+
+
 def _block_schema(label_type: str) -> str:
-    return f"label {label_type}, size int, block long, ids binary, y binary, " + \
+    return f"label {label_type}, size int, block long, ids binary, y binary, x binary, " + \
         ", ".join(f"{e}{d} double" for e in ("lo", "hi") for d in range(BOX))
 
 
@@ -139,24 +169,25 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number, held, key, label_type = TaskContext.get().partitionId() << 36, [], None, pa.null()
 
     def block() -> pa.RecordBatch:
-        y = np.frombuffer(b"".join(v for _, v in held)).reshape(len(held), -1)
+        y = np.frombuffer(b"".join(v for _, v, _ in held)).reshape(len(held), -1)
         lead = np.zeros((len(held), BOX))
         lead[:, :min(BOX, y.shape[1])] = y[:, :BOX]
         columns = [pa.array([key[0]], label_type), pa.array([key[1]], pa.int32()), pa.array([number], pa.int64()),
-                   pa.array([np.array([i for i, _ in held], np.int64).tobytes()], pa.binary()),
+                   pa.array([np.array([i for i, *_ in held], np.int64).tobytes()], pa.binary()),
                    pa.array([y.tobytes()], pa.binary()),
+                   pa.array([_packed(np.frombuffer(b"".join(x for *_, x in held)))], pa.binary()),
                    *(pa.array([float(v)]) for v in lead.min(axis=0)), *(pa.array([float(v)]) for v in lead.max(axis=0))]
-        return pa.RecordBatch.from_arrays(columns, names=["label", "size", "block", "ids", "y", *(
+        return pa.RecordBatch.from_arrays(columns, names=["label", "size", "block", "ids", "y", "x", *(
             f"{e}{d}" for e in ("lo", "hi") for d in range(BOX))])
 
     for b in batches:
         label_type = b.column("label").type
-        for label, size, vec_id, y in zip(*(b.column(c).to_pylist() for c in ("label", "size", "vec_id", "y"))):
+        for label, size, *vector in zip(*(b.column(c).to_pylist() for c in ("label", "size", "vec_id", "y", "x"))):
             if held and (key != (label, size) or len(held) == BLOCK):
                 yield block()
                 number, held = number + 1, []
             key = (label, size)
-            held.append((vec_id, y))
+            held.append(vector)
     if held:
         yield block()
 
@@ -166,10 +197,11 @@ def _compare(threshold: float):
         for b in batches:
             for t in range(b.num_rows):
                 size, same = b.column("size")[t].as_py(), b.column("same")[t].as_py()
-                (ids_a, a), (ids_b, c) = ((np.frombuffer(b.column(f"{s}_ids")[t].as_buffer(), np.int64),
-                                           np.frombuffer(b.column(f"{s}_y")[t].as_buffer()).reshape(-1, size))
-                                          for s in "ab")
-                i, j = linked_pairs(a, c, threshold, same)
+                (ids_a, a, x_a), (ids_b, c, x_b) = ((np.frombuffer(b.column(f"{s}_ids")[t].as_buffer(), np.int64),
+                                                     np.frombuffer(b.column(f"{s}_y")[t].as_buffer()).reshape(-1, size),
+                                                     np.frombuffer(b.column(f"{s}_x")[t].as_buffer(), np.uint8))
+                                                    for s in "ab")
+                i, j = linked_pairs(a, c, threshold, same, (_unpacked(x_a, *a.shape), _unpacked(x_b, *c.shape)))
                 if not len(i):
                     continue
                 ids = np.concatenate([ids_a, ids_b]) if not same else ids_a
@@ -182,8 +214,11 @@ def _compare(threshold: float):
     return run
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``a`` and ``b`` whose product is at least ``threshold``; of one block each pair once."""
+def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool,
+                 given: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``a`` and ``b`` whose product is at least ``threshold``; of one block each pair once.  ``given``:
+    the vectors behind ``a`` and ``b``, whose cosine decides where the product is too close to tell."""
+    given = given or (a, b)
     size = a.shape[1]
     rest_a, rest_b = (np.sqrt(np.cumsum((x * x)[:, ::-1], axis=1)[:, ::-1]) for x in (a, b))
     total, alive, i, j = np.zeros((len(a), len(b))), None, None, None
@@ -207,9 +242,13 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) ->
                 keep = total + rest_a[i, e] * rest_b[j, e] >= threshold - ROUNDING
                 i, j, total = i[keep], j[keep], total[keep]
     if i is None:
-        i, j = np.nonzero(np.triu(total, 1) >= threshold if same else total >= threshold)
-        return i, j
-    keep = total >= threshold
+        i, j = np.nonzero((np.triu(total, 1) if same else total) >= threshold - ROUNDING)
+        total = total[i, j]
+    keep = total >= threshold - ROUNDING
+    close = np.flatnonzero(keep & (total <= threshold + ROUNDING))
+    for k in range(0, len(close), BLOCK):
+        some = close[k:k + BLOCK]
+        keep[some] = cosines(given[0][i[some]], given[1][j[some]]) >= threshold
     return i[keep], j[keep]
 
 

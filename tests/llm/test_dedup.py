@@ -198,3 +198,31 @@ def test_small_table_against_plain_python(spark):
     rows = texts_of(spark.read.parquet(f"{SMALL}/documents.parquet"))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert _rows(line_dedup.dedup_lines(df), "doc_id", "text", "n_lines", "n_dropped") == _lines(rows)
+
+
+def test_pairs_at_the_threshold_and_one_step_below(spark):
+    """Cosines of exactly 0.93 link, the next smaller doubles do not, as in the comparison of the SQL."""
+    import duckdb
+    rng, rows, labels = np.random.default_rng(3), [], []
+    for k in range(60):
+        order = rng.permutation(15)
+        unit, other = np.zeros(16), np.zeros(16)
+        unit[0], other[0] = 1.0, 93.0
+        other[1 + order[:4]] = 35.0, 11.0, 2.0, 1.0
+        other *= 2.0 ** rng.integers(-400, 400)
+        if k % 3 == 1:
+            other[1 + order[4]] = abs(other[0]) * 2e-8          # a hair longer: the cosine falls below
+        if k % 3 == 2:
+            unit[1 + order[0]] = 1e-9                           # a hair nearer
+        for v in (unit, other):
+            rows.append((len(rows), v.tolist(), f"l{k}"))
+    con = duckdb.connect()
+    want = {}
+    for k in range(60):
+        (a, x, _), (b, y, _) = rows[2 * k:2 * k + 2]
+        y = np.ldexp(np.array(y), -int(np.frexp(max(map(abs, y)))[1])).tolist()      # DuckDB's sums would overflow
+        want[a] = want[b] = con.execute("SELECT list_cosine_similarity(?::DOUBLE[], ?::DOUBLE[]) >= 0.93", [x, y]).fetchone()[0]
+    assert 20 <= sum(want.values()) // 2 < 60 and not any(want[2 * k] for k in range(60) if k % 3 == 1)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: r.n_links == 1 for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == want
