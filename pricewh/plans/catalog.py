@@ -27,6 +27,7 @@ from pricewh.operators import reads as RD
 from pricewh.operators import rollups as R
 from pricewh.session import scratch_path
 from pricewh.sources import fixtures as X
+from pricewh.sources import ingest_job as J
 from pricewh.sources import sinks as S
 from pricewh.sources import vendor as V
 from pricewh.sources.bar_store import BarStore
@@ -150,6 +151,18 @@ def q_append_load(spark, sf):
     return _flat_stored(store.bars())
 
 
+@query("ingest_job")
+def q_ingest_job(spark, sf):
+    """Landed wide rows and JSON replies to stored bars, catalogue and report; the batch is run twice."""
+    name = uuid.uuid4().hex[:12]
+    house = J.Warehouse(spark, scratch_path(spark, f"job-{name}"), BarStore(spark, f"job_bars_{name}"))
+    wide = X.landed_wide(spark, sf).filter(F.col("symbol").rlike(r"^\^|-USD$"))
+    for _ in range(2):
+        report = J.run(house, wide, X.landed_json(spark, sf), "day-1", X.FIXTURE_INGEST_ID, X.FIXTURE_SYSTEM_DATE)
+    assets = house.assets().select("asset_id", "version", F.col("attributes")["source"].alias("source"))
+    return report.drop("batch").join(assets, "asset_id")
+
+
 @query("upsert_rollups")
 def q_upsert_rollups(spark, sf):
     stored = X.stored_bars(spark, sf)

@@ -228,6 +228,21 @@ SELECT symbol, {CANON.format(s='symbol')} AS asset_id, CAST(fetched AS BIGINT) A
        CAST(nan_values AS BIGINT) AS nan_values, CAST(stored AS BIGINT) AS stored, CAST(0 AS BIGINT) AS errors
 FROM per"""
 
+# stocks come by replies, one of them without a series; the others by wide rows; nothing was stored before
+ORACLE["ingest_job"] = f"""
+WITH {SEGDAYS},
+n AS (SELECT segment, count(*) AS days, count(*) FILTER (WHERE dayofmonth(day) = 13 AND volume = 1) AS dirty
+      FROM segdays GROUP BY 1),
+per AS (
+  SELECT segment AS symbol, days AS fetched, 0 AS skipped, 0 AS nans, 1 AS errors, 'alphavantage' AS source FROM n
+  UNION ALL SELECT segment || '-USD', days, 0, dirty, 0, 'yfinance' FROM n
+  UNION ALL SELECT '^' || segment, days, dirty, 0, 0, 'yfinance' FROM n)
+SELECT symbol, {CANON.format(s='symbol')} AS asset_id, CAST(fetched AS BIGINT) AS fetched,
+       CAST(fetched - skipped AS BIGINT) AS transformed, CAST(skipped AS BIGINT) AS skipped,
+       CAST(nans AS BIGINT) AS nan_values, CAST(fetched - skipped AS BIGINT) AS stored, CAST(errors AS BIGINT) AS errors,
+       CAST(1 AS BIGINT) AS version, source
+FROM per"""
+
 ORACLE["reply_errors"] = f"""
 WITH {SEGDAYS}
 SELECT segment AS symbol, CAST(1 AS BIGINT) AS errors, count(DISTINCT strftime(day, '%Y-%m')) + 1 AS replies

@@ -67,8 +67,9 @@ def parse_wide(landed: DataFrame) -> DataFrame:
         valid.alias("valid"), nn.alias("nan_values"))
 
 
-def shape_bars(parsed: DataFrame, provider: str, ingest_id: str, system_date: str) -> DataFrame:
-    """Valid parsed rows -> stored bar documents.
+def shape_bars(parsed: DataFrame, provider: str, ingest_id: str, system_date: str,
+               provider_col: str | None = None) -> DataFrame:
+    """Valid parsed rows -> stored bar documents (P1, P4-P6), of one provider or that of ``provider_col``.
 
     ``system_date`` is one value for the whole job; ``quality_flags`` is 1
     when a NaN number was replaced by NULL, else 0.
@@ -77,7 +78,7 @@ def shape_bars(parsed: DataFrame, provider: str, ingest_id: str, system_date: st
         F.col("business_date"),
         F.lit(system_date).cast("timestamp_ntz").alias("system_date"),
         F.struct(canonical_asset_id("symbol").alias("asset_id"),
-                 F.lit(provider).alias("data_source_id")).alias("meta"),
+                 (F.col(provider_col) if provider_col else F.lit(provider)).alias("data_source_id")).alias("meta"),
         F.create_map(F.lit("open"), F.col("open"), F.lit("close"), F.col("close"),
                      F.lit("volume"), F.col("volume")).alias("indicators"),
         F.lit(ingest_id).alias("ingest_id"),
@@ -106,6 +107,11 @@ def json_to_wide(raw: DataFrame) -> DataFrame:
                       *[F.col("f").getItem(k).alias(name) for k, name in VENDOR_FIELDS.items()])
 
 
+def failed_replies(raw: DataFrame) -> DataFrame:
+    """One row (symbol) for each reply that carried no series."""
+    return raw.filter(F.from_json("payload", _SERIES).getField(VENDOR_SERIES_KEY).isNull()).select("symbol")
+
+
 def json_errors(raw: DataFrame) -> DataFrame:
     """Replies per symbol that carried no series (rate limit, bad symbol)."""
     s = F.from_json("payload", _SERIES).getField(VENDOR_SERIES_KEY)
