@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from conftest_llm import SMALL
@@ -17,7 +18,7 @@ def test_spark_equals_duckdb(spark, name):
     spark_rows, sql_rows = QUERIES[name](spark, SMALL).toPandas(), con.execute(ORACLE[name]).df()
     columns = sorted(spark_rows.columns)
     assert columns == sorted(sql_rows.columns)
-    plain = lambda df: sorted((tuple(None if v is None or v != v else v for v in r)
+    plain = lambda df: sorted((tuple(None if pd.isna(v) else v for v in r)
                                for r in df[columns].astype(object).itertuples(index=False)), key=repr)
     assert plain(spark_rows) == plain(sql_rows)
 
