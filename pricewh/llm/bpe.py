@@ -85,7 +85,8 @@ def byte_letters() -> list[str]:
 
 
 class WordBPE:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = remembered
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -118,14 +119,20 @@ class WordBPE:
         collects = gc.isenabled()
         gc.disable()                            # nothing here forms cycles, and tables are slow to look through
         try:
-            return self._encode_all(texts)
+            return self._joined([self._cut(t) for t in texts])
         finally:
             if collects:
                 gc.enable()
 
-    def _encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        if len(self._pieces) > REMEMBERED:
+    def encode_lines(self, text: str) -> list[bytes]:
+        """Ids of each line of a text; quicker than one text a line where lines are words."""
+        whole, lines = text.split("\n"), self._lower(text).split("\n")
+        odd = "<|" in text or _SPACES.search(text.replace("\n", "")) or _ONLY_PYTHON_SPACE.search(text)
+        return self._joined([[low] if low and not (odd and ("<|" in line or _SPACES.search(low))) else self._cut(line)
+                             for line, low in zip(whole, lines)])
+
+    def _joined(self, cut: list[list[str]]) -> list[bytes]:
+        if len(self._pieces) > (self.remembered or REMEMBERED):
             self._before, self._pieces = self._pieces, dict(self._fixed)
         known, before = self._pieces, self._before
         wanted = set().union(*cut).difference(known)
@@ -148,12 +155,15 @@ class WordBPE:
         return [p for pieces in cut for p in pieces]
 
     @staticmethod
-    def _cut_plain(text: str) -> list[str]:
+    def _lower(text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")     # no final sigma
             if _NEW_LOWER.search(text):
                 text = text.translate(_LOWER)
-        text = text.lower()
+        return text.lower()
+
+    def _cut_plain(self, text: str) -> list[str]:
+        text = self._lower(text)
         if _ONLY_PYTHON_SPACE.search(text):
             return [p for p in _SPACES.split(text) if p]
         return text.split()
@@ -259,6 +269,12 @@ def codec(path: str) -> WordBPE:
     return WordBPE(path)
 
 
+@lru_cache(maxsize=2)
+def word_codec(path: str) -> WordBPE:
+    """A codec for callers that remember the ids of words themselves: it keeps few pieces."""
+    return WordBPE(path, 50_000)
+
+
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>).  A null or empty text has no ids.  Every row is encoded on its own,
     repeated rows too; an empty table gives no rows; further columns are not read."""

@@ -243,6 +243,50 @@ def test_base_scores(spark, awkward, empty):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_score_is_that_of_a_plain_forward_pass(spark, monkeypatch):
+    """Rows of one id, of null id and of no text, in chunks of a few rows: each scored id by id in plain Python."""
+    texts = ["the cat sat on the mat, " * 9 + "and slept", "", "A cat!", "Dogs bark \u00a0 at cats <|endoftext|> twice", "the mat"]
+    rows = [(i % 3 if i % 4 else None, t) for i, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    nets = []
+    monkeypatch.setattr(lm, "STEPS", 10)
+    monkeypatch.setattr(lm, "CHUNK", 60)
+    train = lm.train_in_rounds
+    monkeypatch.setattr(lm, "train_in_rounds", lambda net, *rest: (train(net, *rest), nets.append(net)))
+    got = sorted(((r.doc_id, round(r.n_tokens), round(r.score, 2)) for r in lm.score_documents(docs, PATH).collect()), key=repr)
+    net, bpe, want = nets[0], codec(PATH), []
+    p = {k: v.astype(float).tolist() for k, v in net.p.items()}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    by = lambda a, m: [dot(a, col) for col in zip(*m)]
+    for i, text in rows:
+        ids = [bpe.special["<|startoftext|>"], *bpe.encode(text).tolist(), bpe.special["<|endoftext|>"]]
+        n, done, begin, total = len(ids) - 1, 0, 0, 0.0
+        while done < n:
+            part = ids[begin:begin + lm.WINDOW + 1]
+            x = [[a + b for a, b in zip(p["embed"][net.slot[w]], p["place"][t])] for t, w in enumerate(part[:-1])]
+            q, k, v = ([by(a, p[name]) for a in x] for name in "qkv")
+            for t in range(done - begin, len(part) - 1):
+                a = [math.exp(dot(q[t], k[u]) / lm.WIDTH ** 0.5) for u in range(t + 1)]
+                z = [dot(a, col) / sum(a) for col in zip(*v[:t + 1])]
+                h = [b + c + d for b, c, d in zip(by(x[t], p["own"]), by(z, p["seen"]), p["hidden"])]
+                logits = [b + c + d for b, c, d in zip(by([w / (1 + abs(w)) for w in h], p["out"]), p["bias"],
+                                                       net.prior[net.cls[part[t]]].tolist())]
+                total += logits[net.cls[part[t + 1]]] - math.log(sum(map(math.exp, logits)))
+                total += float(net.log_in_class(np.array([part[t]]), np.array([part[t + 1]]))[0])
+            done = begin + len(part) - 1
+            begin += lm.WINDOW - lm.CONTEXT
+        want.append((i, len(text.encode().split()) + 1, round(total / math.log(10), 2)))
+    assert len(got) == len(rows)
+    for a, b in zip(got, sorted(want, key=repr), strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=0.02)
+
+
+def test_lines_are_encoded_like_texts():
+    bpe = codec(PATH)
+    lines = ["Stra\u00dfe", "", "a\u00a0b", "\u00a0", "<|endoftext|>x", "\u0391\u03a3", "e\u0301t\u00e9,", "it's", "a\x1cb", "\u2028"]
+    assert bpe.encode_lines("\n".join(lines)) == bpe.encode_many(lines)
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline
     from test_dedup import _jaccard, _lines
