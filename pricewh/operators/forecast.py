@@ -9,8 +9,6 @@ tree aggregation), never a driver loop over assets.
 
 from __future__ import annotations
 
-import time
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,7 +160,7 @@ def gbt_metrics(features: DataFrame, seed: int = 42, scored: DataFrame | None =
 
 def model_leaderboard(features: DataFrame, seed: int = 42) -> DataFrame:
     """M7: linear regression, random forest and GBT on the row-count split,
-    with RMSE, R² and fit+score seconds, best (lowest RMSE) first."""
+    with RMSE and R², best (lowest RMSE) first."""
     from pyspark.ml.regression import LinearRegression, RandomForestRegressor
     checkpoint_dir(features.sparkSession)
     train, test, cached = _persisted_split(chrono_split_rows(features))
@@ -174,15 +172,14 @@ def model_leaderboard(features: DataFrame, seed: int = 42) -> DataFrame:
     ]
     rows = []
     for name, est in models:
-        t0 = time.time()
         pred = est.fit(train).transform(test)
         m = _metrics(pred)
-        rows.append((name, float(m["rmse"]), float(m["r2"]), round(time.time() - t0, 2)))
+        rows.append((name, float(m["rmse"]), float(m["r2"])))
     cached.unpersist()
     rows.sort(key=lambda r: r[1])
     spark: SparkSession = features.sparkSession
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)],
-                                 "rank int, model string, rmse double, r2 double, seconds double")
+                                 "rank int, model string, rmse double, r2 double")
 
 
 def forecast_view(predictions: DataFrame, as_of, n: int = 5) -> DataFrame:

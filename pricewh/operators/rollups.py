@@ -26,24 +26,46 @@ def monthly_rollup(stored: DataFrame) -> DataFrame:
 
     ``count`` counts every bar, also those without any price.
     """
+    return finished(partial_rollup(stored))
+
+
+#: How each column of a partial rollup adds up over parts of the bars.
+ADDS_UP = {"n": F.sum, "hi": F.max, "lo": F.min, "n_price": F.sum, "n_large": F.sum, "float_sum": F.sum, "fx": F.sum}
+
+
+def partial_rollup(stored: DataFrame) -> DataFrame:
+    """A month's statistics per asset in a form that merges: counts, extremes and sums, not averages."""
     price = price_of("indicators")
     small = F.abs(F.col("price")) <= F.lit(FIXED_MOST)
-    g = (stored
-         .select(F.col("meta.asset_id").alias("asset_id"),
-                 F.date_format("business_date", "yyyy-MM").alias("period"),
-                 F.when(~F.isnan(price), price).alias("price"))
-         .groupBy("asset_id", "period")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.max("price").alias("hi"),
-              F.min("price").alias("lo"),
-              F.sum(F.when(F.col("price").isNotNull(), 1).otherwise(0)).alias("n_price"),
-              F.count_if(~small).alias("n_large"),
-              F.avg("price").alias("float_avg"),
-              F.sum(F.when(small, F.round(F.col("price") * F.lit(10.0 ** AVG_SCALE)).try_cast("decimal(38,0)")))
-               .alias("fx")))
-    avg = (F.when(F.col("n_large") > 0, F.col("float_avg"))
-           .otherwise((F.col("fx").cast("double") / F.col("n_price").cast("double")) / F.lit(10.0 ** AVG_SCALE)))
-    g = g.withColumn("avg", F.when(F.col("n_price") > 0, avg))
+    return (stored
+            .select(F.col("meta.asset_id").alias("asset_id"),
+                    F.date_format("business_date", "yyyy-MM").alias("period"),
+                    F.when(~F.isnan(price), price).alias("price"))
+            .groupBy("asset_id", "period")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.max("price").alias("hi"),
+                 F.min("price").alias("lo"),
+                 F.sum(F.when(F.col("price").isNotNull(), 1).otherwise(0)).alias("n_price"),
+                 F.count_if(~small).alias("n_large"),
+                 F.sum("price").alias("float_sum"),
+                 F.sum(F.when(small, F.round(F.col("price") * F.lit(10.0 ** AVG_SCALE)).try_cast("decimal(38,0)")))
+                 .cast("decimal(38,0)").alias("fx")))
+
+
+def merged(partials: DataFrame) -> DataFrame:
+    """One partial rollup a month and asset from any number of them.  The merge is exact: it gives what the
+    bars behind them give at once (but for the floating sum, which only months with prices above
+    ``FIXED_MOST`` use)."""
+    return (partials.groupBy("asset_id", "period")
+            .agg(*[add(c).cast(partials.schema[c].dataType).alias(c) for c, add in ADDS_UP.items()]))
+
+
+def finished(partials: DataFrame) -> DataFrame:
+    """Rollups from merged partial ones."""
+    n_price = F.col("n_price").cast("double")
+    avg = (F.when(F.col("n_large") > 0, F.try_divide(F.col("float_sum"), n_price))
+           .otherwise(F.try_divide(F.col("fx").cast("double"), n_price) / F.lit(10.0 ** AVG_SCALE)))
+    g = partials.withColumn("avg", F.when(F.col("n_price") > 0, avg))
     return g.select(
         "asset_id",
         F.lit(MONTH_INTERVAL).alias("interval_type"),

@@ -25,6 +25,7 @@ from pricewh.operators import history_store as H
 from pricewh.operators import quant as Q
 from pricewh.operators import reads as RD
 from pricewh.operators import rollups as R
+from pricewh.operators.rollup_state import RollupState
 from pricewh.session import scratch_path
 from pricewh.sources import fixtures as X
 from pricewh.sources import ingest_job as J
@@ -173,6 +174,21 @@ def q_upsert_rollups(spark, sf):
     return R.flatten_rollups(S.upsert(target, src))
 
 
+@query("rollup_state")
+def q_rollup_state(spark, sf):
+    # bars that come late, a batch twice, and a compaction between
+    stored = X.stored_bars(spark, sf, "all")
+    late = F.pmod(F.xxhash64("meta.asset_id", "business_date"), F.lit(5)) == 0
+    early = _before(stored, LOAD_EXISTING_BEFORE)
+    state = RollupState(spark, scratch_path(spark, f"rollup-state-{uuid.uuid4().hex[:12]}"))
+    state.apply(early.filter(~late), "early")
+    state.apply(_from(stored, LOAD_EXISTING_BEFORE), "rest")
+    state.compact()
+    state.apply(early.filter(late), "late")
+    state.apply(early.filter(late), "late")
+    return R.flatten_rollups(state.rollups())
+
+
 # -- reads ----------------------------------------------------------------------
 
 @query("recent_bars")

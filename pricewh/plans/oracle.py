@@ -259,6 +259,10 @@ ORACLE["monthly_rollup"] = f"""
 WITH {BARS}, {ROLLUP}
 SELECT * FROM rollup"""
 
+ORACLE["rollup_state"] = f"""
+WITH {BARS_ALL}, {ROLLUP}
+SELECT * FROM rollup"""
+
 # months from 1999-01 come from the source, earlier ones keep the stale target
 ORACLE["upsert_rollups"] = f"""
 WITH {BARS}, {ROLLUP}
