@@ -22,14 +22,16 @@ summary, and summaries of neighbouring runs merge from left to right:
 * where in it the last effective delete is;
 * its first time, and its last change with payload.
 
-Prefix merges over an asset's summaries (one row, unless the asset crosses
-the end of a partition) give each run its offsets; rows then need nothing
-but their own run.  A change without a time cannot be placed and fails the job.
+Prefix merges over an asset's summaries give each run its offsets; rows then
+need nothing but their own run.  Only an asset that crosses the end of a
+partition has more than one run, so summaries are made for those assets alone:
+at most two for each partition.  They are broadcast, and the log is shuffled
+once.  A change without a time cannot be placed and fails the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewh.functions.columns import SOURCE_DESCRIPTION_PREFIX, capitalize, check_page
@@ -37,6 +39,8 @@ from pricewh.operators.windows import laid_out, on_keys
 
 KEYS = ("asset_id", "change_ts", "seq", "op")
 _BEFORE = (Window.unboundedPreceding, -1)
+#: Rows of the log that a task scans, or one run: what a task sorts does not grow with the log.
+ROWS = 100_000
 
 
 def _payload(df: DataFrame) -> list[str]:
@@ -50,6 +54,41 @@ def _runs(changes: DataFrame, partitions: int | None) -> DataFrame:
     return laid_out(changes.withColumn("change_ts", placed), "asset_id", ["change_ts", "seq"], "changes", partitions)
 
 
+def _of_cut_assets(changes: DataFrame) -> DataFrame:
+    """The changes of assets with more than one run: an asset goes on in the next partition, so it is the first or
+    the last of every partition that it lies in."""
+    ends = changes.groupBy("_chunk").agg(F.min_by("asset_id", "_id").alias("_a"), F.max_by("asset_id", "_id").alias("_z"))
+    cut = (ends.select("_chunk", F.explode(F.array("_a", "_z")).alias("asset_id")).distinct()
+           .groupBy("asset_id").count().filter("count > 1").select("asset_id"))
+    return on_keys(changes, F.broadcast(cut), "asset_id", how="left_semi")
+
+
+def _dealt(changes: DataFrame) -> DataFrame:
+    """Whole runs in partitions of about ``ROWS`` rows; the rows of a stored table are counted from its footers."""
+    return changes.repartition(1 + changes.count() // ROWS, "asset_id", "_chunk")
+
+
+def _in_runs(changes: DataFrame, row: Column) -> DataFrame:
+    """What a run's rows know of the rows before them in the run; ``row``: a change with its payload."""
+    wl = Window.partitionBy("asset_id", "_chunk").orderBy("_id")
+    upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_del = F.col("op") == "delete"
+    df = (changes.withColumn("_lr", F.row_number().over(wl))
+                 .withColumn("_prev", F.lag(row).over(wl))
+                 .withColumn("_next", F.lead("change_ts").over(wl)))
+    lead_del = (F.col("_lr") == 1) & is_del & ~F.col("_seed")       # effective iff the run before ends in a save
+    base = F.when(lead_del, False).otherwise(
+        ~is_del | F.col("_seed") | (F.col("_prev").getField("op") == "save"))
+    df = df.withColumn("_fd", lead_del).withColumn("_b", base)
+    bd = (F.col("_b") & is_del)
+    return (df.withColumn("_c", F.sum(F.col("_b").cast("int")).over(upto))
+              .withColumn("_cd", F.sum(bd.cast("int")).over(upto))
+              .withColumn("_ldr", F.max(F.when(bd, F.col("_c"))).over(upto))
+              .withColumn("_ldr_prev", F.max(F.when(bd, F.col("_c"))).over(wl.rowsBetween(*_BEFORE)))
+              .withColumn("_has_fd", F.first("_fd").over(upto))
+              .withColumn("_first_ts", F.first("change_ts").over(upto)))
+
+
 def _scan(changes: DataFrame, seeded: bool) -> DataFrame:
     """History of a log that is cut into runs: ``_chunk`` numbers them in order, ``_id`` the rows.
 
@@ -63,29 +102,12 @@ def _scan(changes: DataFrame, seeded: bool) -> DataFrame:
     """
     payload = _payload(changes)
     df = changes if seeded else changes.withColumn("_seed", F.lit(False))
-    wl = Window.partitionBy("asset_id", "_chunk").orderBy("_id")
-    upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wa = Window.partitionBy("asset_id").orderBy("_chunk")
-
     row = F.struct(F.col("op"), *[F.col(c) for c in payload])
     is_del = F.col("op") == "delete"
-    df = (df.withColumn("_lr", F.row_number().over(wl))
-            .withColumn("_prev", F.lag(row).over(wl))
-            .withColumn("_next", F.lead("change_ts").over(wl)))
-    lead_del = (F.col("_lr") == 1) & is_del & ~F.col("_seed")       # effective iff the run before ends in a save
-    base = F.when(lead_del, False).otherwise(
-        ~is_del | F.col("_seed") | (F.col("_prev").getField("op") == "save"))
-    df = df.withColumn("_fd", lead_del).withColumn("_b", base)
-    bd = (F.col("_b") & is_del)
-    df = (df.withColumn("_c", F.sum(F.col("_b").cast("int")).over(upto))
-            .withColumn("_cd", F.sum(bd.cast("int")).over(upto))
-            .withColumn("_ldr", F.max(F.when(bd, F.col("_c"))).over(upto))
-            .withColumn("_ldr_prev", F.max(F.when(bd, F.col("_c"))).over(wl.rowsBetween(*_BEFORE)))
-            .withColumn("_has_fd", F.first("_fd").over(upto))
-            .withColumn("_first_ts", F.first("change_ts").over(upto)))
 
     # a run's summary is at its last row; merged per asset
-    s = (df.filter(F.col("_next").isNull())
+    s = (_in_runs(_of_cut_assets(df), row).filter(F.col("_next").isNull())
          .select("asset_id", "_chunk", row.alias("_last"), F.col("_has_fd"), F.col("_c").alias("_n0"),
                  F.col("_cd").alias("_nd0"), F.col("_ldr").alias("_ldr0"), "_first_ts"))
     prev_last = F.lag("_last").over(wa)
@@ -100,10 +122,13 @@ def _scan(changes: DataFrame, seeded: bool) -> DataFrame:
     s = (s.withColumn("_off", F.coalesce(F.sum("_n").over(wa.rowsBetween(*_BEFORE)), F.lit(0)))
           .withColumn("_doff", F.coalesce(F.sum("_nd").over(wa.rowsBetween(*_BEFORE)), F.lit(0))))
     s = s.withColumn("_pdr", F.max(F.col("_off") + F.col("_ldr_b")).over(wa.rowsBetween(*_BEFORE)))
-    df = on_keys(df, s.select("asset_id", "_chunk", "_prev_b", "_h", "_off", "_doff", "_next_ts", "_pdr"),
-                 "asset_id", "_chunk")
+    s = s.select("asset_id", "_chunk", "_prev_b", "_h", "_off", "_doff", "_next_ts", "_pdr")
+    # an asset of one run has no summary: nothing comes before
+    df = (on_keys(_in_runs(_dealt(df), row), F.broadcast(s), "asset_id", "_chunk", how="left")
+          .withColumns({"_h": F.coalesce("_h", F.lit(False)), "_off": F.coalesce("_off", F.lit(0)),
+                        "_doff": F.coalesce("_doff", F.lit(0))}))
 
-    fd, h = F.col("_fd"), F.col("_h")
+    fd, h, bd = F.col("_fd"), F.col("_h"), F.col("_b") & is_del
     shift = (h & ~fd).cast("int")             # an effective leading delete precedes this row
     eff = F.col("_b") | (fd & h)
     r = F.when(fd, F.lit(1)).otherwise(F.col("_c") + shift)
@@ -145,13 +170,12 @@ def drop_unchanged_saves(changes: DataFrame) -> DataFrame:
     payload = [c for c in _payload(changes)]
     df = changes.withColumn("_cmp", _comparable(changes, payload))
     wl = Window.partitionBy("asset_id", "_chunk").orderBy("_id")
-    df = (df.withColumn("_pop", F.lag("op").over(wl)).withColumn("_pcmp", F.lag("_cmp").over(wl))
-            .withColumn("_lr", F.row_number().over(wl))
-            .withColumn("_end", F.lead("_id").over(wl).isNull()))
     wa = Window.partitionBy("asset_id").orderBy("_chunk")
-    s = (df.filter("_end").select("asset_id", "_chunk", F.struct("op", "_cmp").alias("_l"))
+    s = (_of_cut_assets(df).groupBy("asset_id", "_chunk").agg(F.max_by(F.struct("op", "_cmp"), "_id").alias("_l"))
          .withColumn("_pb", F.lag("_l").over(wa)).select("asset_id", "_chunk", "_pb"))
-    df = on_keys(df, s, "asset_id", "_chunk")
+    df = (df.withColumn("_pop", F.lag("op").over(wl)).withColumn("_pcmp", F.lag("_cmp").over(wl))
+            .withColumn("_lr", F.row_number().over(wl)))
+    df = on_keys(df, F.broadcast(s), "asset_id", "_chunk", how="left")
     first = F.col("_lr") == 1
     pop = F.when(first, F.col("_pb").getField("op")).otherwise(F.col("_pop"))
     pcmp = F.when(first, F.col("_pb").getField("_cmp")).otherwise(F.col("_pcmp"))

@@ -194,6 +194,31 @@ def test_one_asset_with_a_third_of_the_log_in_one_hour_spreads(spark):
     assert _rows(C._scan(runs, seeded=False).drop("_seed")) == sorted(_key(r) for r in fold(rows))
 
 
+def test_the_log_is_sorted_once_and_joined_without_a_shuffle(spark):
+    rows = _to_rows([(a, d, 1, "save", "x") for a in "abcd" for d in range(3)])
+    runs = C._runs(_log(spark, rows), 3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = C._scan(runs, seeded=False)._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert _rows(C._scan(runs, seeded=False).drop("_seed")) == sorted(_key(r) for r in fold(rows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    of_cut = {r.asset_id for r in C._of_cut_assets(runs).collect()}
+    cut = {r.asset_id for r in runs.groupBy("asset_id").agg({"_chunk": "min"}).collect()
+           if runs.filter(runs.asset_id == r.asset_id).select("_chunk").distinct().count() > 1}
+    assert of_cut == cut
+
+
+def test_tasks_of_the_scan_grow_in_number_not_in_size(spark, monkeypatch):
+    rows = _to_rows([(a, d, 1, "save", "x") for a in "abcd" for d in range(6)])
+    monkeypatch.setattr(C, "ROWS", 4)
+    runs = C._runs(_log(spark, rows), 3)
+    assert C._dealt(runs).rdd.getNumPartitions() == 7
+    assert _rows(C._scan(runs, seeded=False).drop("_seed")) == sorted(_key(r) for r in fold(rows))
+
+
 def test_null_assets_are_one_asset_and_null_times_fail(spark):
     import pytest
     rows = [(None, T0 + dt.timedelta(hours=i), i, op, "S", "x") for i, op in enumerate(["save", "delete", "delete", "save"])]
