@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from pricewh.functions.columns import SOURCE_DESCRIPTION_PREFIX, capitalize, check_page
 from pricewh.operators.windows import laid_out, on_keys
+from pricewh.sources.sinks import materialize
 
 KEYS = ("asset_id", "change_ts", "seq", "op")
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -215,6 +216,8 @@ def scd2_apply(history: DataFrame, batch: DataFrame, skip_unchanged: bool = Fals
               .agg(F.max_by(F.struct("life", "version", "is_deleted", "valid_from", "seq", *payload),
                             F.struct("life", "version")).alias("n"))
               .select("asset_id", "n.*"))
+    # a table: seeds, the test of late changes, offsets and replaced rows all read it
+    newest = materialize(newest, name="scd2-newest")
     seeds = newest.select(
         "asset_id", F.col("valid_from").alias("change_ts"), "seq",
         F.when(F.col("is_deleted"), "delete").otherwise("save").alias("op"),
@@ -250,7 +253,6 @@ def scd2_apply_stored(spark, history_path: str, batch: DataFrame, out_path: str)
     of batches keeps a short lineage."""
     if history_path.rstrip("/") == out_path.rstrip("/"):
         raise ValueError("out_path must differ from history_path")
-    from pricewh.sources.sinks import materialize
     return materialize(scd2_apply(spark.read.parquet(history_path), batch), out_path)
 
 
