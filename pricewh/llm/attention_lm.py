@@ -10,9 +10,9 @@ its class, given the ids before it, times that of the id in its class:
   groups); the counts are mixed with those of ``p(id | class)``.
 * Classes are found from the neighbours of ids, counted over all training documents.
 * The attention part (one head, causal mask, a hidden layer) adds what a longer context tells.  It is
-  trained by gradient descent on windows drawn from all training documents; their number grows with the
-  input.  Windows are dealt to workers, whose number grows too; after each round the workers' weights,
-  of a size that the ids bound, are averaged.
+  trained by gradient descent on all windows of all training documents: each id of theirs is predicted at
+  least once.  Windows are dealt to workers, whose number grows with the input; after each round the
+  workers' weights, of a size that the ids bound, are averaged.
 
 A document is scored in windows of ``WINDOW`` ids that overlap by ``CONTEXT``; each id is scored once,
 in the first window that holds it.  All windows of a group of documents go through the model in batches.
@@ -42,14 +42,17 @@ from pricewh.llm.bpe import WordBPE, codec, word_codec
 from pricewh.llm.common import bound_batches, drop_stored, stored
 from pricewh.llm.shingles import Words, slices
 
-#: Share of the windows of all training documents that attention is trained on, whatever their number.
-SHARE = 1 / 16
+#: Share of the windows of all training documents that attention is trained on: all, whatever their number.
+SHARE = 1
 #: Rounds of training, for one worker or many; after each the workers' weights are averaged.
 ROUNDS = 5
 #: Ids whose places before and behind an id tell its class.
 NEIGHBOURS = 192
 CLASSES, WIDTH, WINDOW, CONTEXT = 64, 32, 64, 16
 STEPS, BATCH, RATE = 500, 160, 0.01
+#: A worker takes as many windows as this many times STEPS take; least number of steps for one: STEPS.
+#: Of a chunk the windows go to at most so many places (rounds of workers).
+TIMES, PLACES = 4, 40
 #: Windows of a batch that go through the layers together.
 AT_ONCE = 40
 #: Groups of ids before; they bound the table of counts to GROUPS * (number of ids) cells.
@@ -227,7 +230,8 @@ def train_network(texts: list[str], path: str) -> Network:
     network = network_of(count, *neighbour_counts(stream, common))
     if texts:
         finish(network, *cell_counts(network, stream))
-        network.p, _ = descend(network, drawn_windows(stream, 1.0, np.random.default_rng(7)), 0, STEPS, 7)
+        own = training_windows(stream)
+        network.p, _ = descend(network, own, 0, max(STEPS, -(-len(own) // BATCH)), 7)
     return network
 
 
@@ -279,8 +283,8 @@ class Rows:
 
 
 def classed_network(train: DataFrame, path: str) -> tuple[Network, DataFrame | None, int]:
-    """An untrained model with the classes and groups of all training rows (``id_rows``); windows drawn from all of
-    them, as a table (turn, worker, source, windows); number of workers."""
+    """An untrained model with the classes and groups of all training rows (``id_rows``); all of their windows,
+    as a table (turn, worker, source, windows); number of workers."""
     n_ids = len(codec(path).token)
     train = train.select("ids", "sizes")
     ids, n = summed(train.mapInArrow(_id_counts(path), _COUNTED))
@@ -289,21 +293,22 @@ def classed_network(train: DataFrame, path: str) -> tuple[Network, DataFrame | N
     count, n_windows = count[:-1], int(count[-1])
     if not n_windows:
         return network_of(count, *_NOTHING), None, 0
-    workers = max(1, round(SHARE * n_windows / (STEPS * BATCH)))
-    found = stored(train.mapInArrow(_neighbours_and_windows(path, common_ids(count), SHARE, workers),
+    workers = -(-n_windows // (TIMES * STEPS * BATCH))
+    found = stored(train.mapInArrow(_neighbours_and_windows(path, common_ids(count), workers),
                                     f"{_COUNTED}, turn long, worker long, source long, windows binary"), "windows")
     network = network_of(count, *summed(found.filter("part IS NOT NULL").select("part", "cells", "counts")))
     return network, found.filter("windows IS NOT NULL").select("turn", "worker", "source", "windows"), workers
 
 
 def train_in_rounds(network: Network, windows_of_workers: DataFrame, workers: int) -> None:
-    """Each round every worker goes on from the common weights with its windows; then the weights are averaged."""
+    """Each round every worker goes on from the common weights with all of its windows of the round; then the weights
+    are averaged."""
     sc = windows_of_workers.sparkSession.sparkContext
     steps = -(-STEPS // ROUNDS)
     for turn in range(ROUNDS):
         light = sc.broadcast(Network(network.slot, network.cls, network.group, network.p, network.prior))
         trained = (windows_of_workers.filter(F.col("turn") == turn).groupBy("worker")
-                   .applyInArrow(_descend_worker(light, turn * steps, steps, ROUNDS * steps),
+                   .applyInArrow(_descend_worker(light, turn, steps),
                                  "part long, worker long, weights binary, mass binary"))
         parts = (trained.repartition("part").sortWithinPartitions("part", "worker")
                  .mapInArrow(_averaged, "part long, weights binary, mass binary").collect())
@@ -345,17 +350,19 @@ def _from_flat(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nd
     return p
 
 
-def _descend_worker(network, done: int, steps: int, of: int):
+def _descend_worker(network, turn: int, least: int):
     def run(key, table):
         model, worker = network.value, key[0].as_py()
-        rows = table.sort_by("source").column("windows").to_pylist()
-        windows_of_rows = np.frombuffer(b"".join(rows), np.int32).reshape(-1, WINDOW + 1)
-        p, seen = descend(model, windows_of_rows, done, steps, [7, worker, done], of)
+        _IDS_OF_WORDS.clear()                                   # texts are encoded by now
+        word_codec.cache_clear()
+        windows_of_rows = np.frombuffer(b"".join(table.sort_by("source").column("windows").to_pylist()),
+                                        np.int32).reshape(-1, WINDOW + 1)
+        steps = max(least, -(-len(windows_of_rows) // BATCH))   # no window of the round is left out
+        p, seen = descend(model, windows_of_rows, turn * steps, steps, [7, worker, turn], ROUNDS * steps)
         flat = _flat(p)
         mass = np.ones(len(flat))                               # of a row of an id: how often it was met
         mass[:len(seen)] = seen
-        out = [(k, worker, (flat[k::PARTS] * mass[k::PARTS][:, None]).astype(np.float64).tobytes(),
-                mass[k::PARTS].tobytes()) for k in range(PARTS)]
+        out = [(k, worker, flat[k::PARTS].tobytes(), mass[k::PARTS].tobytes()) for k in range(PARTS)]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
                         names=["part", "worker", "weights", "mass"])
     return run
@@ -366,7 +373,8 @@ def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for b in batches:
         for part, weights, mass in zip(*(b.column(c).to_pylist() for c in ("part", "weights", "mass"))):
-            w, m = np.frombuffer(weights, np.float64), np.frombuffer(mass, np.float64)
+            m = np.frombuffer(mass, np.float64)
+            w = (np.frombuffer(weights, np.float32).reshape(-1, WIDTH) * m[:, None]).ravel()
             if part in sums:
                 w, m = sums[part][0] + w, sums[part][1] + m
             sums[part] = w, m
@@ -384,6 +392,7 @@ def descend(network: Network, own: np.ndarray, done: int, steps: int, seed, of:
     now = Network(network.slot, network.cls, network.group, p, network.prior)
     moment = {k: np.zeros_like(v) for k, v in p.items()}
     square = {k: np.zeros_like(v) for k, v in p.items()}
+    room = {k: np.empty_like(v) for k, v in p.items()}
     seen = np.zeros(len(p["embed"]))
     order = np.empty(0, np.int64)
     for step in range(1, steps + 1):
@@ -396,26 +405,29 @@ def descend(network: Network, own: np.ndarray, done: int, steps: int, seed, of:
         seen += np.bincount(now.slot[ids[real]], minlength=len(seen))
         grads = _gradients(now, ids, now.cls[some[:, 1:]], real)
         rate = RATE * min(1.0, step / 20, (of + 1 - done - step) / (of / 2))
-        for k, g in grads.items():
-            moment[k] = 0.9 * moment[k] + 0.1 * g
-            square[k] = 0.99 * square[k] + 0.01 * g * g
-            p[k] -= (rate * (moment[k] / (1 - 0.9 ** step))
-                     / (np.sqrt(square[k] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
+        for k, g in grads.items():                              # in place: new arrays cost more than the sums
+            m, s = moment[k], square[k]
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=room[k])
+            s *= 0.99
+            g *= g
+            s += np.multiply(g, 0.01, out=g)
+            np.sqrt(np.multiply(s, 1 / (1 - 0.99 ** step), out=g), out=g)
+            g += 1e-6
+            np.divide(m, g, out=g)
+            p[k] -= np.multiply(g, rate / (1 - 0.9 ** step), out=g)
     return p, seen
 
 
 def first_ids(stream: Stream | Rows) -> np.ndarray:
-    """Where training windows begin: every half window of a row."""
-    half = WINDOW // 2
-    n = np.maximum(1, -(-(np.diff(stream.offset) - 1 - half) // half))
-    return np.repeat(stream.offset[:-1], n) + half * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+    """Where training windows begin: each id of a row but the first is behind one place of one window."""
+    n = np.maximum(1, -(-(np.diff(stream.offset) - 1) // WINDOW))
+    return np.repeat(stream.offset[:-1], n) + WINDOW * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
 
-def drawn_windows(stream: Stream | Rows, share: float, rng: np.random.Generator) -> np.ndarray:
-    """A share of the windows: WINDOW ids and the id behind them, -1 behind the end of the row."""
+def training_windows(stream: Stream | Rows) -> np.ndarray:
+    """All windows: WINDOW ids and the id behind them, -1 behind the end of the row."""
     begins = first_ids(stream)
-    if share < 1:
-        begins = begins[rng.random(len(begins)) < share]
     end = stream.offset[np.searchsorted(stream.offset, begins, side="right")]
     at = begins[:, None] + np.arange(WINDOW + 1)
     return np.where(at < end[:, None], stream.ids[np.minimum(at, len(stream.ids) - 1)], -1).astype(np.int32)
@@ -454,7 +466,7 @@ def _id_counts(path: str):
     return run
 
 
-def _neighbours_and_windows(path: str, common: np.ndarray, share: float, workers: int):
+def _neighbours_and_windows(path: str, common: np.ndarray, workers: int):
     def run(batches):
         task = TaskContext.get().partitionId()
         rng = np.random.default_rng([7, task])
@@ -463,8 +475,9 @@ def _neighbours_and_windows(path: str, common: np.ndarray, share: float, workers
             tables.append(neighbour_counts(stream, common))
             if len(tables) == 16:
                 tables = [added(tables)]
-            own = drawn_windows(stream, share, rng)
-            place = rng.integers(0, ROUNDS * workers, len(own))
+            own = training_windows(stream)
+            place = rng.permutation(ROUNDS * workers)[:PLACES]
+            place = place[rng.integers(0, len(place), len(own))]
             rows = [{"turn": int(k) // workers, "worker": int(k) % workers, "source": (task << 32) + i,
                      "windows": own[place == k].tobytes()} for k in np.unique(place)]
             if rows:

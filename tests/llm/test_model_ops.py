@@ -221,6 +221,29 @@ def test_model_learns_from_all_training_rows(spark, monkeypatch):
     assert lm.log10_scores(net, stream).sum() > before
 
 
+def test_attention_is_trained_on_every_window(spark, monkeypatch):
+    """Each id of a training row but the first is a target once a pass, and each worker takes all its windows."""
+    texts = [" ".join(f"w{(i * 7 + k) % 50}" for k in range(n)) for i, n in enumerate([0, 1, 20, 63, 64, 65, 400, 3000])]
+    stream = lm.Stream(pa.array(texts), codec(PATH))
+    whole = lm.training_windows(stream)
+    assert (whole[:, 1:] >= 0).sum() == len(stream.ids) - len(texts)
+    monkeypatch.setattr(lm, "STEPS", 5)
+    monkeypatch.setattr(lm, "BATCH", 4)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    net, table, workers = lm.classed_network(lm.id_rows(docs, PATH), PATH)
+    rows = table.collect()
+    windows = np.concatenate([np.frombuffer(r.windows, np.int32).reshape(-1, lm.WINDOW + 1) for r in rows])
+    assert sorted(map(tuple, windows.tolist())) == sorted(map(tuple, whole.tolist()))
+    lm.finish(net, *lm.cell_counts(net, stream))
+    met = []
+    gradients = lm._gradients
+    monkeypatch.setattr(lm, "_gradients", lambda net, ids, target, real: (met.append(ids[:, :4].copy()), gradients(net, ids, target, real))[1])
+    own = pa.table({"source": [0], "windows": [whole.tobytes()]})
+    light = type("Light", (), {"value": net})
+    assert lm._descend_worker(light, 0, 1)((pa.scalar(0),), own).num_rows == lm.PARTS
+    assert {tuple(x) for x in np.concatenate(met).tolist()} == {tuple(x) for x in np.maximum(whole[:, :4], 0).tolist()}
+
+
 def test_base_scores(spark, awkward, empty):
     rows = [(i, t or "") for i, t in texts_of(awkward)]
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
