@@ -264,9 +264,9 @@ class WordBPE:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> WordBPE:
+def codec(path: str, remembered: int | None = None) -> WordBPE:
     """One codec a worker process.  ``path`` must be readable on every executor."""
-    return WordBPE(path)
+    return WordBPE(path, remembered)
 
 
 @lru_cache(maxsize=2)

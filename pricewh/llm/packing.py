@@ -42,21 +42,23 @@ CHUNK = 1 << 20
 PIECE = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+         remembered: int | None = None) -> DataFrame:
     """One row for each piece of a document in a sequence: doc_id, start (tokens of the document
     before it), length, doc_tokens (with the end token), sequence_id, offset (in the sequence),
     ids (little-endian unsigned 32-bit).
 
     Each token lies in exactly one piece; pieces of a sequence follow each other without gaps.  A
     null or empty text is its end token alone.  Repeated rows are packed each.  An empty table gives
-    no rows; further columns are not read.
+    no rows; further columns are not read.  ``remembered`` bounds the pieces that a worker's encoder
+    keeps, where other work needs its memory.
     """
     bound_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path)
+        bpe = codec(path, remembered)
         base = TaskContext.get().partitionId() << 36
         packer = Packer(sentence_ends(bpe), size)
         for b in batches:
