@@ -66,7 +66,7 @@ def _of_cut_assets(changes: DataFrame) -> DataFrame:
 
 def _dealt(changes: DataFrame) -> DataFrame:
     """Whole runs in partitions of about ``ROWS`` rows; the rows of a stored table are counted from its footers."""
-    return changes.repartition(1 + changes.count() // ROWS, "asset_id", "_chunk")
+    return changes.repartition(max(2, 1 + changes.count() // ROWS), "asset_id", "_chunk")
 
 
 def _in_runs(changes: DataFrame, row: Column) -> DataFrame:
