@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewh.llm.bpe import WordBPE, codec, word_codec
-from pricewh.llm.common import bound_batches, drop_stored, stored
+from pricewh.llm.common import bound_batches, drop_stored, shuffles_dropped, stored
 from pricewh.llm.shingles import Words, slices
 
 #: Share of the windows of all training documents that attention is trained on: all, whatever their number.
@@ -55,12 +55,16 @@ STEPS, BATCH, RATE = 500, 160, 0.01
 TIMES, PLACES = 4, 40
 #: Windows of a batch that go through the layers together.
 AT_ONCE = 40
+#: Rows of weights that are changed together.
+ROWS_AT_ONCE = 512
 #: Groups of ids before; they bound the table of counts to GROUPS * (number of ids) cells.
 GROUPS = 512
 #: Added to the counts of ids in a class and of classes after a class; weight of p(id | class) in the mixture.
 MORE, MIXED = 0.5, 10.0
 #: Bytes of text of a chunk (or one row), documents per bucket of word counts, windows that are scored together.
 CHUNK, PER_BUCKET, TOGETHER = 1 << 20, 4096, 128
+#: Compression of stored tables: ids are small numbers in wide places, which only an entropy coder makes small.
+CODEC = "zstd"
 #: Different words whose ids a worker remembers (about 40 bytes each).
 REMEMBERED = 1_000_000
 
@@ -106,21 +110,22 @@ def score_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
     """
     bound_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    rows = id_rows(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                               held_out(id_col).alias("held_out")), path)
-    size = rows.agg(F.sum(F.size("doc_ids")), F.sum(F.when(~F.col("held_out"), F.size("doc_ids")))).first()
-    n_docs, n_train = int(size[0] or 0), int(size[1] or 0)
-
-    train = rows.filter("NOT held_out").select("ids", "sizes")
-    network, windows_of_workers, workers = classed_network(train, path)
-    finish(network, *summed(train.mapInArrow(_cells(path, sc.broadcast(network)), _COUNTED)))
-    if windows_of_workers is not None:
-        train_in_rounds(network, windows_of_workers, workers)
-        drop_stored(windows_of_workers)
-    answers = stored(count_words(rows, 8 + n_docs // PER_BUCKET), "word-counts")
-    total = answers.agg(F.sum("distinct_words"), F.sum("tokens")).first()
-    tokens = int(total[1] or 0) + n_train
-    distinct = int(total[0] or 0) + (n_train > 0)
+    with shuffles_dropped(docs.sparkSession):                   # each round of training shuffles windows anew
+        rows = id_rows(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                                   held_out(id_col).alias("held_out")), path)
+        size = rows.agg(F.sum(F.size("doc_ids")), F.sum(F.when(~F.col("held_out"), F.size("doc_ids")))).first()
+        n_docs, n_train = int(size[0] or 0), int(size[1] or 0)
+
+        train = rows.filter("NOT held_out").select("ids", "sizes")
+        network, windows_of_workers, workers = classed_network(train, path)
+        finish(network, *summed(train.mapInArrow(_cells(path, sc.broadcast(network)), _COUNTED)))
+        if windows_of_workers is not None:
+            train_in_rounds(network, windows_of_workers, workers)
+            drop_stored(windows_of_workers)
+        answers = stored(count_words(rows, 8 + n_docs // PER_BUCKET), "word-counts", CODEC)
+        total = answers.agg(F.sum("distinct_words"), F.sum("tokens")).first()
+        tokens = int(total[1] or 0) + n_train
+        distinct = int(total[0] or 0) + (n_train > 0)
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = rows.select("chunk", "held_out", "doc_ids", "ids", "sizes", "numbers", "n_words").mapInArrow(
@@ -194,6 +199,12 @@ def _lines(words: Words, at: np.ndarray) -> str:
 _IDS_OF_WORDS: dict[int, WordIds] = {}
 
 
+def _forget_words() -> None:
+    """Let go of what encoding remembers: for tasks that begin when all texts are encoded."""
+    _IDS_OF_WORDS.clear()
+    word_codec.cache_clear()
+
+
 class Stream:
     """Subword ids of the rows of a text column, each with a start and an end id, one behind the other."""
 
@@ -263,7 +274,7 @@ def id_rows(texts: DataFrame, path: str) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
     return stored(texts.select("doc_id", "text", "held_out").mapInArrow(
         run, f"chunk long, held_out boolean, doc_ids array<{kind}>, ids binary, sizes binary, words binary, "
-             "numbers binary, n_words binary"), "ids")
+             "numbers binary, n_words binary"), "ids", CODEC)
 
 
 def _numbers(different: int) -> type:
@@ -295,7 +306,7 @@ def classed_network(train: DataFrame, path: str) -> tuple[Network, DataFrame | N
         return network_of(count, *_NOTHING), None, 0
     workers = -(-n_windows // (TIMES * STEPS * BATCH))
     found = stored(train.mapInArrow(_neighbours_and_windows(path, common_ids(count), workers),
-                                    f"{_COUNTED}, turn long, worker long, source long, windows binary"), "windows")
+                                    f"{_COUNTED}, turn long, worker long, source long, windows binary"), "windows", CODEC)
     network = network_of(count, *summed(found.filter("part IS NOT NULL").select("part", "cells", "counts")))
     return network, found.filter("windows IS NOT NULL").select("turn", "worker", "source", "windows"), workers
 
@@ -353,8 +364,7 @@ def _from_flat(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nd
 def _descend_worker(network, turn: int, least: int):
     def run(key, table):
         model, worker = network.value, key[0].as_py()
-        _IDS_OF_WORDS.clear()                                   # texts are encoded by now
-        word_codec.cache_clear()
+        _forget_words()
         windows_of_rows = np.frombuffer(b"".join(table.sort_by("source").column("windows").to_pylist()),
                                         np.int32).reshape(-1, WINDOW + 1)
         steps = max(least, -(-len(windows_of_rows) // BATCH))   # no window of the round is left out
@@ -392,7 +402,6 @@ def descend(network: Network, own: np.ndarray, done: int, steps: int, seed, of:
     now = Network(network.slot, network.cls, network.group, p, network.prior)
     moment = {k: np.zeros_like(v) for k, v in p.items()}
     square = {k: np.zeros_like(v) for k, v in p.items()}
-    room = {k: np.empty_like(v) for k, v in p.items()}
     seen = np.zeros(len(p["embed"]))
     order = np.empty(0, np.int64)
     for step in range(1, steps + 1):
@@ -405,17 +414,18 @@ def descend(network: Network, own: np.ndarray, done: int, steps: int, seed, of:
         seen += np.bincount(now.slot[ids[real]], minlength=len(seen))
         grads = _gradients(now, ids, now.cls[some[:, 1:]], real)
         rate = RATE * min(1.0, step / 20, (of + 1 - done - step) / (of / 2))
-        for k, g in grads.items():                              # in place: new arrays cost more than the sums
-            m, s = moment[k], square[k]
-            m *= 0.9
-            m += np.multiply(g, 0.1, out=room[k])
-            s *= 0.99
-            g *= g
-            s += np.multiply(g, 0.01, out=g)
-            np.sqrt(np.multiply(s, 1 / (1 - 0.99 ** step), out=g), out=g)
-            g += 1e-6
-            np.divide(m, g, out=g)
-            p[k] -= np.multiply(g, rate / (1 - 0.9 ** step), out=g)
+        for name, whole in grads.items():                       # in place: new arrays cost more than the sums
+            for i in range(0, len(whole), ROWS_AT_ONCE):        # and so do arrays that leave the processor's cache
+                g, m, s, w = (x[i:i + ROWS_AT_ONCE] for x in (whole, moment[name], square[name], p[name]))
+                m *= 0.9
+                m += g * np.float32(0.1)
+                s *= 0.99
+                g *= g
+                s += np.multiply(g, 0.01, out=g)
+                np.sqrt(np.multiply(s, 1 / (1 - 0.99 ** step), out=g), out=g)
+                g += 1e-6
+                np.divide(m, g, out=g)
+                w -= np.multiply(g, rate / (1 - 0.9 ** step), out=g)
     return p, seen
 
 
@@ -744,6 +754,7 @@ def _answered(bucket: int, held: list[tuple]) -> pa.RecordBatch:
 def _scores(network, path: str):
     """Log10 probabilities of the rows of chunks, beside what the base is computed from."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget_words()
         layers = _prepared(network.value)
         names = ["chunk", "held_out", "doc_ids", "numbers", "n_words"]
         for b in batches:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +36,27 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Whether the shuffle files of a query go when it has ended, and not when the driver next collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Jobs that end in here leave no shuffle files behind.  A DataFrame that is returned lazily is not one of them."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: a lineage cut that outlives executors."""
-    return materialize(df, name=f"llm-{name}")
+    return materialize(df, name=f"llm-{name}", codec=codec)
 
 
 def drop_stored(df: DataFrame) -> None:

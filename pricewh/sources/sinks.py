@@ -114,15 +114,15 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def materialize(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, path: str | None = None, name: str = "table", codec: str | None = None) -> DataFrame:
     """Write ``df`` as a table and return it read back: a lineage cut that
     survives executor loss.  Without ``path`` the table goes under the
     shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local
-    temporary folder on a cluster."""
+    temporary folder on a cluster.  ``codec``: its compression, if not the session's."""
     import uuid
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=codec)
     return spark.read.parquet(path)
 
 

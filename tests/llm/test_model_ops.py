@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import time
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ from conftest_llm import SMALL, texts_of
 from pricewh.llm import attention_lm as lm
 from pricewh.llm import toxicity as tox
 from pricewh.llm.bpe import codec
+from pricewh.llm.common import DROP_SHUFFLES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 MID = "/root/testdata/sf0.1"
@@ -244,6 +246,39 @@ def test_attention_is_trained_on_every_window(spark, monkeypatch):
     assert {tuple(x) for x in np.concatenate(met).tolist()} == {tuple(x) for x in np.maximum(whole[:, :4], 0).tolist()}
 
 
+def test_training_leaves_no_shuffle_files(spark, monkeypatch):
+    """What rounds and counts shuffled is gone when the query is planned; stored ids are entropy-coded."""
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+    written = []
+    store = lm.stored
+    monkeypatch.setattr(lm, "STEPS", 5)
+    monkeypatch.setattr(lm, "stored", lambda *args: (written.append(store(*args)), written[-1])[1])
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(i))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before, setting = shuffles(), spark.conf.get(DROP_SHUFFLES, None)
+    scored = lm.score_documents(docs, PATH)
+    until = time.time() + 20                                    # files are deleted beside the job
+    while not shuffles() <= before and time.time() < until:
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert spark.conf.get(DROP_SHUFFLES, None) == setting
+    assert scored.count() == len(rows)
+    files = [f for df in (written[0], written[-1]) for f in df.inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_weights_are_the_same_in_blocks_of_any_size(network, monkeypatch):
+    net, texts = network
+    own = lm.training_windows(lm.Stream(pa.array(texts[:9]), codec(PATH)))
+    whole, _ = lm.descend(net, own, 0, 3, 7)
+    monkeypatch.setattr(lm, "ROWS_AT_ONCE", 3)
+    blocks, _ = lm.descend(net, own, 0, 3, 7)
+    assert all((whole[k] == blocks[k]).all() for k in whole) and (whole["embed"] != net.p["embed"]).any()
+
+
 def test_base_scores(spark, awkward, empty):
     rows = [(i, t or "") for i, t in texts_of(awkward)]
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
