@@ -589,47 +589,134 @@ def id_classes(count: np.ndarray, own: np.ndarray, column: np.ndarray, times: np
     return near.astype(np.int32)
 
 
+class Room:
+    """Arrays that are used again in the next batch: new ones of this size cost more than what is computed in them."""
+
+    def __init__(self):
+        self.held: dict[tuple, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, kind=np.float32) -> np.ndarray:
+        size, key = math.prod(shape), (name, np.dtype(kind))
+        if key not in self.held or len(self.held[key]) < size:
+            self.held[key] = np.empty(size, kind)
+        return self.held[key][:size].reshape(shape)
+
+
+#: Room for the layers and their gradients.
+_ROOM = Room()
+
+
 def _gradients(network: Network, ids: np.ndarray, target: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean loss over real targets, added up over some windows at a time: they stay in the processor's cache."""
-    total = {k: np.zeros_like(v) for k, v in network.p.items()}
-    share = (real / real.sum())[..., None].astype(np.float32)
+    p = network.p
+    total = {k: np.zeros_like(v) for k, v in p.items()}
+    share = (real / real.sum()).astype(np.float32)
+    d_x = _ROOM("d_x", *ids.shape, WIDTH, kind=p["embed"].dtype)
+    prepared = _joined_weights(network)
     for i in range(0, len(ids), AT_ONCE):
         some = slice(i, i + AT_ONCE)
-        _add_gradients(total, network, ids[some], target[some], share[some])
+        _add_gradients(total, d_x[some], network, prepared, ids[some], target[some], share[some])
+    slot = network.slot[ids].ravel()
+    met = np.zeros(len(p["embed"]), bool)
+    met[slot] = True
+    rows = np.flatnonzero(met)
+    number = np.empty(len(met), np.int64)
+    number[rows] = np.arange(len(rows))
+    place = number[slot]
+    columns = np.ascontiguousarray(d_x.reshape(-1, WIDTH).T)
+    total["embed"][rows] = np.stack([np.bincount(place, c, len(rows)) for c in columns], axis=1)
     return total
 
 
-def _add_gradients(total: dict[str, np.ndarray], network: Network, ids: np.ndarray, target: np.ndarray,
-                   share: np.ndarray) -> None:
-    """Backwards through the layers of ``_forward``."""
+def _joined_weights(network: Network) -> tuple[np.ndarray, ...]:
+    """Weights q (scaled), k, v, own side by side, and turned; k and v, out and seen turned; what is added to logits by
+    class before; whether exp(logits) can neither overflow nor be 0 in all classes."""
     p = network.p
-    x, a, z, h, logits, (q, k, v) = _forward(network, ids)
-    logits -= logits.max(axis=-1, keepdims=True)
-    prob = np.exp(logits, out=logits)
-    prob /= prob.sum(axis=-1, keepdims=True)
-    np.put_along_axis(prob, target[..., None], np.take_along_axis(prob, target[..., None], -1) - 1, -1)
-    prob *= share
-    d_logits = prob
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"out": flat(h).T @ flat(d_logits), "bias": flat(d_logits).sum(axis=0)}
-    d_h = (d_logits @ p["out"].T) * (1 - np.abs(h)) ** 2
-    g |= {"own": flat(x).T @ flat(d_h), "seen": flat(z).T @ flat(d_h), "hidden": flat(d_h).sum(axis=0)}
-    d_z = d_h @ p["seen"].T
-    d_a = d_z @ v.transpose(0, 2, 1)
-    d_v = a.transpose(0, 2, 1) @ d_z
-    d_a -= (d_z * z).sum(axis=-1, keepdims=True)                # of d_a * a over the places looked at
-    d_a *= a
-    d_a *= np.float32(WIDTH ** -0.5)
-    d_q, d_k = d_a @ k, d_a.transpose(0, 2, 1) @ q
-    g |= {"q": flat(x).T @ flat(d_q), "k": flat(x).T @ flat(d_k), "v": flat(x).T @ flat(d_v)}
-    d_x = d_h @ p["own"].T + d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T
-    g["place"] = d_x.sum(axis=0)
-    for name, own in g.items():
-        total[name] += own
-    slot = network.slot[ids].ravel()
-    order = np.argsort(slot, kind="stable")
-    first = np.flatnonzero(np.diff(slot[order], prepend=-1))
-    total["embed"][slot[order[first]]] += np.add.reduceat(flat(d_x)[order], first, axis=0)
+    inner = np.concatenate([p["q"] * np.float32(WIDTH ** -0.5), p["k"], p["v"], p["own"]], axis=1)
+    turned = np.ascontiguousarray(inner.T)
+    # hidden values lie between -1 and 1, and the prior's largest between -log(CLASSES) and 0
+    small = float((np.abs(p["out"]).sum(axis=0) + np.abs(p["bias"])).max()) < 75
+    return (inner, turned, turned[WIDTH:3 * WIDTH], np.ascontiguousarray(p["out"].T), np.ascontiguousarray(p["seen"].T),
+            network.prior + p["bias"], small)
+
+
+def _over_windows(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sum of left.T @ right over the windows: many small products are quicker than a long one."""
+    return (left.transpose(0, 2, 1) @ right).sum(axis=0)
+
+
+#: Places that look back together, the later ones first: what lies ahead of all of them is not computed.
+_SPANS = [(WINDOW // 2, WINDOW), (0, WINDOW // 2)]
+
+
+def _add_gradients(total: dict[str, np.ndarray], d_x: np.ndarray, network: Network, prepared: tuple, ids: np.ndarray,
+                   target: np.ndarray, share: np.ndarray) -> None:
+    """Through the layers of ``_forward`` and backwards.  Weights of places looked at stay undivided by their sum:
+    the narrow arrays beside them are divided instead."""
+    p, (inner, turned, kv_turned, out_turned, seen_turned, added_to, small) = network.p, prepared
+    n, t = ids.shape
+    kind = inner.dtype
+    room = lambda name, *shape: _ROOM(name, *shape, kind=kind)
+    ones = np.ones(max(t, CLASSES), kind)
+    x = np.take(p["embed"], network.slot[ids], axis=0, out=room("x", n, t, WIDTH), mode="clip")
+    x += p["place"]
+    joined = np.matmul(x, inner, out=room("inner", n, t, 4 * WIDTH))
+    q, k, v, own = (joined[..., i * WIDTH:(i + 1) * WIDTH] for i in range(4))
+    back = np.matmul(kv_turned, x.transpose(0, 2, 1), out=room("back", n, 2 * WIDTH, t))
+    k_turned, v_turned = back[:, :WIDTH], back[:, WIDTH:]
+    z, weight, looked = room("z", n, t, WIDTH), room("weight", n, t), []
+    for lo, hi in _SPANS:
+        a = np.matmul(q[:, lo:hi], k_turned[..., :hi], out=room(f"a{lo}", n, hi - lo, hi))
+        np.clip(a, -40, 40, out=a)                              # then no maximum has to be taken out
+        np.exp(a, out=a)
+        a[..., lo:] *= _CAUSAL[lo:hi, lo:hi]
+        np.divide(1, a @ ones[:hi], out=weight[:, lo:hi])
+        np.matmul(a, v[:, :hi], out=z[:, lo:hi])
+        looked.append(a)
+    z *= weight[..., None]
+    h = np.matmul(z, p["seen"], out=room("h", n, t, WIDTH))
+    h += own
+    h += p["hidden"]
+    size = np.abs(h, out=room("size", n, t, WIDTH))
+    size += 1
+    h /= size                                                   # between -1 and 1
+    logits = np.matmul(h, p["out"], out=room("out", n, t, CLASSES))
+    logits += np.take(added_to, network.cls[ids], axis=0, out=room("prior", n, t, CLASSES), mode="clip")
+    if not small:
+        logits -= logits.max(axis=-1, keepdims=True)
+    e = np.exp(logits, out=logits)
+    mass = e @ ones[:CLASSES]
+    e.reshape(-1)[np.arange(n * t) * CLASSES + target.ravel()] -= mass.ravel()
+    factor = share / mass                                       # times e: gradient of the logits
+    h *= factor[..., None]
+    total["out"] += _over_windows(h, e)
+    total["bias"] += factor.ravel() @ e.reshape(-1, CLASSES)
+    d_joined = room("d_inner", n, t, 4 * WIDTH)
+    d_q, d_k, d_v, d_h = (d_joined[..., i * WIDTH:(i + 1) * WIDTH] for i in range(4))
+    size *= size
+    np.divide(factor[..., None], size, out=size)
+    np.multiply(np.matmul(e, out_turned, out=h), size, out=d_h)
+    total["hidden"] += ones[:1].repeat(n * t) @ d_h.reshape(-1, WIDTH)
+    total["seen"] += _over_windows(z, d_h)
+    d_z = np.matmul(d_h, seen_turned, out=size)
+    d_z *= weight[..., None]
+    even = np.einsum("nti,nti->nt", d_z, z)                     # of d_a * a over the places looked at
+    for (lo, hi), a in zip(_SPANS, looked):
+        d_a = np.matmul(d_z[:, lo:hi], v_turned[..., :hi], out=room(f"d_a{lo}", n, hi - lo, hi))
+        d_a -= even[:, lo:hi, None]
+        d_a *= a
+        np.matmul(d_a, k[:, :hi], out=d_q[:, lo:hi])
+        for whole, left, right in ((d_k, d_a, q), (d_v, a, d_z)):
+            if hi == t:
+                np.matmul(left.transpose(0, 2, 1), right[:, lo:hi], out=whole)
+            else:
+                whole[:, :hi] += left.transpose(0, 2, 1) @ right[:, lo:hi]
+    grown = _over_windows(x, d_joined)
+    grown[:, :WIDTH] *= np.float32(WIDTH ** -0.5)
+    for i, name in enumerate(("q", "k", "v", "own")):
+        total[name] += grown[:, i * WIDTH:(i + 1) * WIDTH]
+    np.matmul(d_joined, turned, out=d_x)
+    total["place"] += d_x.sum(axis=0)
 
 
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -817,7 +904,7 @@ class Layers:
         longest = [sum(np.linalg.norm(part[:, i:i + WIDTH], axis=1).max() for part in (self.of_id, self.of_place))
                    for i in (0, WIDTH)]
         self.small_scores = float(longest[0] * longest[1]) < 40
-        self.room: dict[str, np.ndarray] = {}
+        self._room = Room()
 
     def log_in_class(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """``Network.log_in_class`` by table."""
@@ -829,13 +916,6 @@ class Layers:
             out[new] = self.network.log_in_class(before[new], ids[new])
         return out
 
-    def _room(self, name: str, *shape: int) -> np.ndarray:
-        """Room that is used again in the next batch: new arrays of this size cost more than what is computed in them."""
-        size = math.prod(shape)
-        if name not in self.room or len(self.room[name]) < size:
-            self.room[name] = np.empty(size, np.float32)
-        return self.room[name][:size].reshape(shape)
-
     def logits(self, ids: np.ndarray, first: int) -> np.ndarray:
         """Class logits behind each id of the windows from place ``first`` on.  They stand until the next call."""
         n, t = ids.shape

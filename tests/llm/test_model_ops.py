@@ -177,6 +177,34 @@ def test_attention_gradient(network):
         assert math.isclose(g[at], (up - down) / 2e-4, rel_tol=2e-2, abs_tol=2e-5), name
 
 
+def test_gradient_computes_no_weights_ahead_of_a_span(network, monkeypatch):
+    """Of a window's WINDOW * WINDOW products of places a quarter lies ahead and is left out; all places still learn."""
+    net, _ = network
+    ids = np.random.default_rng(6).choice(np.flatnonzero(net.slot), (3, lm.WINDOW))
+    exp, met = np.exp, []
+    monkeypatch.setattr(lm.np, "exp", lambda x, **kw: (met.append(x.size), exp(x, **kw))[1])
+    grads = lm._gradients(net, ids, net.cls[ids[:, ::-1]], np.ones(ids.shape, bool))
+    assert sum(met) == ids.size * (lm.CLASSES + lm.WINDOW * 3 // 4)
+    assert grads["place"].all() and grads["embed"][net.slot[ids]].all()
+
+
+@pytest.mark.parametrize("far", [0.0, 200.0])
+def test_gradient_is_the_same_where_exp_would_overflow(network, far):
+    """Against each class's probability by the plain forward pass, with a bias of all classes that changes nothing."""
+    net, _ = network
+    rng = np.random.default_rng(8)
+    ids = rng.choice(np.flatnonzero(net.slot), (2, lm.WINDOW))
+    target, real = rng.integers(0, lm.CLASSES, ids.shape), rng.random(ids.shape) < 0.7
+    moved = lm.Network(net.slot, net.cls, net.group, net.p | {"bias": net.p["bias"] + np.float32(far)}, net.prior)
+    logits = lm._forward(net, ids)[4].astype(float)
+    prob = np.exp(logits - logits.max(axis=-1, keepdims=True))
+    prob /= prob.sum(axis=-1, keepdims=True)
+    want = (prob[real].sum(axis=0) - np.bincount(target[real], minlength=lm.CLASSES)) / real.sum()
+    got, plain = lm._gradients(moved, ids, target, real), lm._gradients(net, ids, target, real)
+    assert np.allclose(got["bias"], want, atol=1e-4)
+    assert all(np.allclose(got[k], plain[k], atol=1e-4 * np.abs(plain[k]).max() + 1e-6, rtol=1e-3) for k in plain)
+
+
 def test_windows_score_each_id_once():
     w, c = lm.WINDOW, lm.CONTEXT
     lengths = [1, 2, w - 1, w, w + 1, w + 2, 2 * w - c, 2 * w - c + 1, 400]
